@@ -12,29 +12,46 @@ MICROS_FROM = 31_536_000_000_000
 NANOS_FROM = 31_536_000_000_000_000
 
 
+def _may_be_number(text: Column) -> Column:
+    """First character of a number: a digit, a sign or the point.
+
+    A failing cast costs an exception inside Spark. Comparing the text by its bytes is free and
+    keeps words away from the cast.
+    """
+    return (text >= "+") & (text < ":")
+
+
+# Words taken as truth values, in any case.
+TRUE_WORDS = ["true", "t", "yes", "y", "on", "1"]
+FALSE_WORDS = ["false", "f", "no", "n", "off", "0"]
+SPECIAL_DOUBLES = ["nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
+
+
 def to_bigint(text: Column) -> Column:
     """Whole number; decimal and exponent text is rounded half away from zero."""
-    rounded = F.round(text.try_cast("decimal(38,10)"), 0).try_cast("bigint")
-    return F.coalesce(text.try_cast("bigint"), rounded)
+    word = F.trim(text)
+    rounded = F.round(word.try_cast("decimal(38,10)"), 0).try_cast("bigint")
+    return F.when(_may_be_number(word), F.coalesce(word.try_cast("bigint"), rounded))
 
 
 def to_number(text: Column) -> Column:
     """Number of 38 digits without a fraction (the lenient check of reaction members)."""
-    return text.try_cast("decimal(38,0)")
+    word = F.trim(text)
+    return F.when(_may_be_number(word), word.try_cast("decimal(38,0)"))
 
 
 def to_double(text: Column) -> Column:
-    """Double; the Java suffixes d/f and hexadecimal text, which Spark would take, are refused."""
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$|[xX]"), text.try_cast("double"))
+    """Double; text Java takes but SQL does not, like ``1d`` or hexadecimal digits, is refused."""
+    word = F.trim(text)
+    last = F.substring(word, -1, 1)
+    number = _may_be_number(word) & (last >= ".") & (last < ":") & ~F.lower(word).contains("x")
+    return F.when(number | F.lower(word).isin(SPECIAL_DOUBLES), word.try_cast("double"))
 
 
 def to_boolean(text: Column) -> Column:
     """true/t/yes/y/on/1 and false/f/no/n/off/0 in any case."""
     word = F.lower(F.trim(text))
-    return F.coalesce(
-        text.try_cast("boolean"),
-        F.when(word == "on", F.lit(True)).when(word == "off", F.lit(False)),
-    )
+    return F.when(word.isin(TRUE_WORDS), F.lit(True)).when(word.isin(FALSE_WORDS), F.lit(False))
 
 
 def to_timestamp_ntz(text: Column) -> Column:
@@ -42,7 +59,9 @@ def to_timestamp_ntz(text: Column) -> Column:
 
     Works on micros since the epoch, so the session time zone has no say in it.
     """
-    whole = text.try_cast("bigint")
+    word = F.trim(text)
+    # A dash after the first place is a date.
+    whole = F.when(_may_be_number(word) & (F.instr(word, "-") <= 1), word.try_cast("bigint"))
     micros = (
         F.when(whole < MILLIS_FROM, F.try_multiply(whole, F.lit(1_000_000)))
         .when(whole < MICROS_FROM, whole * 1_000)
@@ -50,7 +69,7 @@ def to_timestamp_ntz(text: Column) -> Column:
         .otherwise(F.call_function("div", whole, F.lit(1_000)))
     )
     stamped = F.timestamp_add("MICROSECOND", micros, F.lit(EPOCH).cast("timestamp_ntz"))
-    return F.coalesce(stamped, text.try_cast("timestamp_ntz"))
+    return F.coalesce(stamped, word.try_cast("timestamp_ntz"))
 
 
 def epoch_utc(seconds: Column) -> Column:

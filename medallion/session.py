@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # A projection of some fifty casts and rules makes one method too large for the JIT. Beyond
+    # its limit let Spark generate the projection in small methods instead of one stage.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
