@@ -1 +1,125 @@
-QUERIES = {}
+"""The four dimensions on the derived review rows, as DataFrames and as written tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from medallion.catalog import Query
+from medallion.catalog.feed import (
+    FLAGGED_CTES, PLAYER_ORDER_SQL, REVIEW_ORDER_SQL, bronze_feed, full_order,
+)
+from medallion.catalog.sqltext import (
+    any_distinct, ctes, current_step, history_step, newest, opened,
+)
+from medallion.operators.flatten import flag_reviews
+from medallion.operators.merge import open_versions
+from medallion.plans.dims import DIMENSIONS
+from medallion.schemas import (
+    BRONZE_SCHEMA, PLAYER_MEASURES, PLAYER_ROW, REVIEW_DATA, REVIEW_ROW,
+)
+from medallion.session import scratch_folder
+from medallion.sources.layout import read_or_empty
+
+CUT = "1998-01-01 00:00:00"
+FIRST, SECOND = "2026-01-01 00:00:00", "2026-01-02 00:00:00"
+
+
+def flagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagged rows as the written table they are in a pipeline; the merges only read it."""
+    folder = scratch_folder(spark, "flagged")
+    flag_reviews(bronze_feed(spark, sf_dir)).write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def sources(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Sources of an early and a late batch."""
+    dim, flagged = DIMENSIONS[name], flagged_table(spark, sf_dir)
+    late = F.col("ingested_at") >= F.lit(CUT).cast("timestamp_ntz")
+    order = full_order(list(dim.columns))
+    return dim.source(flagged.where(~late), order), dim.source(flagged.where(late), order)
+
+
+def _current(name: str):
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        early, late = sources(spark, sf_dir, name)
+        target = early.withColumn("_dlt_updated_at", F.lit(FIRST).cast("timestamp_ntz"))
+        return DIMENSIONS[name].merged(target, late, SECOND)
+    return build
+
+
+def _history(name: str):
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        dim = DIMENSIONS[name]
+        early, late = sources(spark, sf_dir, name)
+        return dim.merged(open_versions(early, dim.merge, FIRST), late, SECOND)
+    return build
+
+
+def _written(name: str):
+    """The same merge through a written table: two batches and a repeat of the second."""
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        dim = DIMENSIONS[name]
+        table = dim.table(scratch_folder(spark, name), buckets=8)
+        early, late = sources(spark, sf_dir, name)
+        for batch_id, source, now in ((0, early, FIRST), (1, late, SECOND), (1, late, SECOND)):
+            table.apply(spark, batch_id, source,
+                        lambda current, staged, at=now: dim.merged(current, staged, at))
+        return table.read(spark)
+    return build
+
+
+def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze as a lake table: written once, read with its declared schema."""
+    folder = scratch_folder(spark, "bronze")
+    bronze_feed(spark, sf_dir).write.mode("overwrite").parquet(folder)
+    return read_or_empty(spark, folder, BRONZE_SCHEMA).groupBy("app_id").agg(
+        F.count("*").alias("n_rows"), F.max("ingested_at").alias("last_ingested_at"))
+
+
+REVIEWS = "review_reasons = ''"
+PLAYERS = "author_reasons = ''"
+
+
+def _halves(keys, columns, order: str, clean: str) -> list[tuple[str, str]]:
+    spans = (f"ingested_at < TIMESTAMP '{CUT}'", f"ingested_at >= TIMESTAMP '{CUT}'")
+    return [(f"b{n}", newest(f"flagged WHERE {clean} AND {span}", keys, columns, order))
+            for n, span in enumerate(spans)]
+
+
+def _current_sql(keys, columns, order, clean, compare, update) -> str:
+    return ctes(
+        *FLAGGED_CTES, *_halves(keys, columns, order, clean),
+        ("t0", f"SELECT *, TIMESTAMP '{FIRST}' AS _dlt_updated_at FROM b0"),
+        final=current_step("t0", "b1", keys, columns, update, any_distinct(compare),
+                           ("_dlt_updated_at", SECOND)),
+    )
+
+
+def _history_sql(keys, columns, order, clean, compare, stamp_closed) -> str:
+    return ctes(
+        *FLAGGED_CTES, *_halves(keys, columns, order, clean), ("h0", opened("b0", columns, FIRST)),
+        ("h1", history_step("h0", "b1", keys, columns, compare, SECOND, stamp_closed)),
+        final="SELECT * FROM h1",
+    )
+
+
+_REVIEWS_1 = _current_sql(["review_id"], REVIEW_ROW, REVIEW_ORDER_SQL, REVIEWS,
+                          [*REVIEW_DATA, "ingested_at"], [*REVIEW_DATA, "ingested_at"])
+_PLAYERS_1 = _current_sql(["author_steam_id"], PLAYER_ROW, PLAYER_ORDER_SQL, PLAYERS,
+                          PLAYER_MEASURES, [*PLAYER_MEASURES, "ingested_at"])
+_REVIEWS_2 = _history_sql(["review_id"], REVIEW_ROW, REVIEW_ORDER_SQL, REVIEWS, REVIEW_DATA, True)
+_PLAYERS_2 = _history_sql(["author_steam_id"], PLAYER_ROW, PLAYER_ORDER_SQL, REVIEWS,
+                          PLAYER_MEASURES, False)
+
+QUERIES = {
+    "reviews_scd1": Query(_current("reviews_scd1"), _REVIEWS_1),
+    "players_scd1": Query(_current("players_scd1"), _PLAYERS_1),
+    "reviews_scd2": Query(_history("reviews_scd2"), _REVIEWS_2),
+    "players_scd2": Query(_history("players_scd2"), _PLAYERS_2),
+    "written_reviews_scd1": Query(_written("reviews_scd1"), _REVIEWS_1),
+    "written_reviews_scd2": Query(_written("reviews_scd2"), _REVIEWS_2),
+    "written_players_scd1": Query(_written("players_scd1"), _PLAYERS_1),
+    "written_players_scd2": Query(_written("players_scd2"), _PLAYERS_2),
+    "bronze_table": Query(bronze_table, ctes(FLAGGED_CTES[0], final="""SELECT app_id,
+        count(*) AS n_rows, max(ingested_at) AS last_ingested_at FROM bronze GROUP BY app_id""")),
+}
