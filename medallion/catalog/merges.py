@@ -9,8 +9,8 @@ from medallion.catalog.sqltext import (
     any_distinct, ctes, current_step, history_step, listed, newest, opened,
 )
 from medallion.operators.merge import (
-    CurrentMerge, HistoryMerge, action_counts, change_feed, history_actions, inserted_rows,
-    merge_current, merge_history, open_versions,
+    BROADCAST_BYTES, CurrentMerge, HistoryMerge, action_counts, change_feed, history_actions, inserted_rows,
+    measured_bytes, merge_current, merge_history, open_versions,
 )
 from medallion.operators.versions import latest_per_key
 from medallion.plans.dims import newer_than_current
@@ -58,15 +58,16 @@ def upsert_newer_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_small_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The broadcast form of the upsert; the source is one row per customer segment at most."""
+    """The broadcast form of the upsert, taken because the measured source is small."""
     segments = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(
         F.max("c_acctbal").alias("c_acctbal"), F.count("*").alias("n_rows"))
-    nations = table(spark, sf_dir, "customer").select(
+    held = table(spark, sf_dir, "customer").select(
         "c_mktsegment", F.lit(0.0).alias("c_acctbal"), F.lit(0).cast("bigint").alias("n_rows")
     ).where(F.col("c_mktsegment") != "BUILDING").distinct()
     merge = CurrentMerge(["c_mktsegment"], ["c_mktsegment", "c_acctbal", "n_rows"],
                          compare=["c_acctbal", "n_rows"], update=["c_acctbal", "n_rows"])
-    return merge_current(nations, segments, merge, with_action=True, broadcast_source=True)
+    small = measured_bytes(segments) <= BROADCAST_BYTES
+    return merge_current(held, segments, merge, with_action=True, broadcast_source=small)
 
 
 def upsert_actions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,11 +56,13 @@ def ingestion_date(started_at: Column) -> Column:
 def write_pages(pages: DataFrame, path: str) -> None:
     """Pages ``(steam_app_id, ingestion_date, run_id, raw_data)`` into one folder per run.
 
-    A run written again replaces its own folder and no other, so a retry adds nothing.
+    A run written again replaces its own folder and no other, so a retry adds nothing. Every page
+    gets a file of its own, also where a run has several.
     """
     (
         pages.select("steam_app_id", "ingestion_date", run_key(F.col("run_id")).alias("run"),
                      "raw_data")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", 1)
         .partitionBy("steam_app_id", "ingestion_date", "run").text(path)
     )
