@@ -253,12 +253,12 @@ QUERIES = {
         WHERE o_orderdate < TIMESTAMP '1999-01-01'"""),
     "dq_reactions": Query(dq_reactions, ctes(FLAGGED_CTES[0], final="""SELECT review_id, app_id,
         '{"count":"x","reaction_type":1}' AS element FROM bronze WHERE reactions LIKE '%"x"%'""")),
-    "dq_freshness": Query(dq_freshness, """WITH newest AS (SELECT max(ts) AS at FROM events),
+    "dq_freshness": Query(dq_freshness, """WITH newest AS (SELECT max(ts) AS seen_at FROM events),
         moved AS (SELECT 'soon' AS seen, max(ts) - INTERVAL 30 MINUTE AS loaded FROM events
         UNION ALL SELECT 'later', max(ts) - INTERVAL 2 HOUR FROM events
         UNION ALL SELECT 'late', max(ts) - INTERVAL 4 HOUR FROM events)
-        SELECT seen, CASE WHEN at - loaded > INTERVAL 3 HOUR THEN 'error'
-        WHEN at - loaded > INTERVAL 1 HOUR THEN 'warn' ELSE 'pass' END AS status
+        SELECT seen, CASE WHEN seen_at - loaded > INTERVAL 3 HOUR THEN 'error'
+        WHEN seen_at - loaded > INTERVAL 1 HOUR THEN 'warn' ELSE 'pass' END AS status
         FROM moved, newest"""),
     "dq_starter_model": Query(dq_starter_model, ctes(FLAGGED_CTES[0], ("counted", """SELECT 'unique'
         AS test_name, (SELECT count(*) FROM (SELECT author_steam_id FROM bronze WHERE
