@@ -15,6 +15,15 @@ from medallion.schemas import (
 NO_DECK_PLAYTIME = "0"
 
 
+def _parsed_once(rows: DataFrame, text: str, schema, name: str) -> DataFrame:
+    """The text parsed into ``name``, by way of a one-element explode.
+
+    A filter on something computed from the parsed value would be pushed below the projection and
+    take the parser with it, once for each field it looks at. It cannot pass an explode.
+    """
+    return rows.withColumn(name, F.explode(F.array(F.from_json(text, schema))))
+
+
 def parse_pages(landing: DataFrame) -> DataFrame:
     """Landing rows with the document parsed into ``page``; every leaf stays text."""
     return landing.withColumn("page", F.from_json("raw_data", PAGE_SCHEMA)).drop("raw_data")
@@ -121,7 +130,7 @@ def record_rules(review: Column) -> list[Rule]:
 
 def validate_records(raw: DataFrame) -> DataFrame:
     """Adds the parsed ``record`` and ``record_errors``, the fields that do not validate."""
-    parsed = raw.withColumn("record", F.from_json("raw_json", REVIEW_SCHEMA))
+    parsed = _parsed_once(raw, "raw_json", REVIEW_SCHEMA, "record")
     return parsed.withColumn("record_errors", failure_reasons(record_rules(F.col("record"))))
 
 
@@ -213,7 +222,7 @@ def page_errors(landing: DataFrame) -> DataFrame:
         Rule("app_id", _whole(page["app_id"]).isNull()),
         Rule("reviews", F.coalesce(F.exists(page["reviews"], bad_review), F.lit(True))),
     ]
-    parsed = landing.withColumn("page", F.from_json("raw_data", PAGE_SCHEMA))
+    parsed = _parsed_once(landing, "raw_data", PAGE_SCHEMA, "page")
     return parsed.withColumn("page_errors", failure_reasons(rules))
 
 
