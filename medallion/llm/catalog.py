@@ -7,24 +7,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.catalog import Query
+from medallion.llm import exact_dedup, line_dedup, packing, token_counts
 from medallion.llm.common import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from medallion.llm.packing import pack
-
-    return pack(read_table(spark, sf_dir, "documents"), WORD_BPE).drop("ids")
+    return packing.pack(read_table(spark, sf_dir, "documents"), WORD_BPE).drop("ids")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from medallion.llm.token_counts import count_tokens
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
+
 
-    return count_tokens(read_table(spark, sf_dir, "documents"), WORD_BPE)
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 QUERIES = {
+    "op2_exact_dedup": Query(op2_exact_dedup, exact_dedup.SQL),
+    "op10_line_dedup": Query(op10_line_dedup, line_dedup.SQL),
     "op1_best_fit_packing": Query(op1_best_fit_packing),
     "op9_token_counts": Query(op9_token_counts),
 }
