@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.catalog import Query
-from medallion.llm import exact_dedup, line_dedup, packing, token_counts
+from medallion.llm import exact_dedup, line_dedup, packing, simhash, token_counts
 from medallion.llm.common import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -30,7 +30,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_simhash_near_dedup": Query(op4_simhash_near_dedup),
     "op2_exact_dedup": Query(op2_exact_dedup, exact_dedup.SQL),
     "op10_line_dedup": Query(op10_line_dedup, line_dedup.SQL),
     "op1_best_fit_packing": Query(op1_best_fit_packing),

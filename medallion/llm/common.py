@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import medallion
 from medallion.session import scratch_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -51,9 +55,26 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Bound an Arrow batch by bytes: 10,000 rows of very long text would not fit a worker."""
+_SHIPPED: set[str] = set()
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Send this package to the Python workers and bound an Arrow batch by bytes.
+
+    10,000 rows of very long text would not fit a worker. The package is sent once per application,
+    so that executors need nothing installed but the public libraries.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(medallion.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="medallion-")) / "medallion.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(package.rglob("*.py")):
+            packed.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
 
 
 _CUT = re.compile(r"[ \t\n\r\x0b\x0c]")

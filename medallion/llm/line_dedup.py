@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import BLANKS, ascii_lower, bounded_batches, id_and_text, written
+from medallion.llm.common import BLANKS, ascii_lower, prepare_workers, id_and_text, written
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -185,7 +185,7 @@ def keep_bitmaps(documents: DataFrame, min_chars: int = MIN_CHARS,
     both ends, A-Z lower-cased; a shared line stays only in the largest ``doc_id`` that holds it,
     there as often as it is; a null id is the smallest. Null texts count as empty.
     """
-    bounded_batches(documents.sparkSession)
+    prepare_workers(documents.sparkSession)
 
     def pack(batches):
         for batch in batches:

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import bounded_batches, id_and_text, written
+from medallion.llm.common import prepare_workers, id_and_text, written
 from medallion.llm.wordbpe import encoder_for, prove_whole_tokens
 
 CAPACITY = 4096
@@ -109,7 +109,7 @@ def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     the last round (default a 256th of the capacity). An empty table gives no rows.
     """
     spark = documents.sparkSession
-    bounded_batches(spark)
+    prepare_workers(spark)
     whole = spark.sparkContext.broadcast(prove_whole_tokens(tokenizer_path))
     slack = capacity // 256 if slack is None else slack
     end = int(end_id).to_bytes(4, "little")

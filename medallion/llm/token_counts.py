@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import bounded_batches, id_and_text
+from medallion.llm.common import prepare_workers, id_and_text
 from medallion.llm.wordbpe import encoder_for, prove_whole_tokens
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
@@ -26,7 +26,7 @@ def count_tokens(documents: DataFrame, tokenizer_path: str, limit: int = LIMIT)
     are not read. An empty table gives no rows.
     """
     spark = documents.sparkSession
-    bounded_batches(spark)
+    prepare_workers(spark)
     whole = spark.sparkContext.broadcast(prove_whole_tokens(tokenizer_path))
 
     def count(batches):
