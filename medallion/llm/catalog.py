@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.catalog import Query
-from medallion.llm import exact_dedup, line_dedup, packing, simhash, token_counts
+from medallion.llm import (
+    exact_dedup, language_id, line_dedup, packing, simhash, token_counts, toxicity,
+)
 from medallion.llm.common import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -34,7 +36,18 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op3_language_id": Query(op3_language_id),
+    "op7_toxicity": Query(op7_toxicity),
     "op4_simhash_near_dedup": Query(op4_simhash_near_dedup),
     "op2_exact_dedup": Query(op2_exact_dedup, exact_dedup.SQL),
     "op10_line_dedup": Query(op10_line_dedup, line_dedup.SQL),
