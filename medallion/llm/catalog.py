@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from medallion.catalog import Query
 from medallion.llm import (
-    exact_dedup, language_id, line_dedup, packing, simhash, token_counts, toxicity,
+    exact_dedup, language_id, line_dedup, lm_scoring, packing, simhash, token_counts,
+    toxicity,
 )
 from medallion.llm.common import read_table
 
@@ -45,7 +46,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op8_lm_scoring": Query(op8_lm_scoring),
     "op3_language_id": Query(op3_language_id),
     "op7_toxicity": Query(op7_toxicity),
     "op4_simhash_near_dedup": Query(op4_simhash_near_dedup),
