@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from medallion.catalog import Query
 from medallion.llm import (
-    exact_dedup, language_id, line_dedup, lm_scoring, packing, simhash, token_counts,
-    toxicity,
+    decontamination, exact_dedup, language_id, line_dedup, lm_scoring, packing, simhash,
+    token_counts, toxicity,
 )
 from medallion.llm.common import read_table
 
@@ -50,7 +50,13 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op5_benchmark_decontamination": Query(op5_benchmark_decontamination),
     "op8_lm_scoring": Query(op8_lm_scoring),
     "op3_language_id": Query(op3_language_id),
     "op7_toxicity": Query(op7_toxicity),
