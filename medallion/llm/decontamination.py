@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,14 @@ BLOCK_BYTES = 8 << 20
 SEED = 20240
 
 _WORD = re.compile(r"\w+")
+#: What keeps a text from being words, one blank or line end between them, with at most one of
+#: these marks behind each.
+_UNEVEN = re.compile(r"[^\w .,\n]|[.,][^ \n]")
+_LEADING = (" .", " ,", "\n.", "\n,")
+
+
+def _even(text: str) -> bool:
+    return not (_UNEVEN.search(text) or text[:1] in (".", ",") or any(m in text for m in _LEADING))
 
 
 def words_of(text: str) -> list[str]:
@@ -77,6 +86,11 @@ def _mix(values: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _repeated(codes: np.ndarray) -> np.ndarray:
+    """For each place but the first and the last, whether the pair there repeats the one before."""
+    return (codes[2:] == codes[1:-1]) & (codes[1:-1] == codes[:-2])
+
+
 @dataclass
 class Index:
     """One block of the benchmark: vocabulary, word pairs, and hash tables per item length."""
@@ -94,6 +108,9 @@ class Index:
     tables: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
     bits: list[list[np.ndarray]] = field(default_factory=list)
     labels: np.ndarray = None
+    spelled: dict[str, int] = field(default_factory=dict)
+    distinct: list[np.ndarray] = field(default_factory=list)
+    needs: dict[int, int] = field(default_factory=dict)
 
     @classmethod
     def build(cls, items: list[tuple[int, str]], similarity: float = SIMILARITY,
@@ -112,6 +129,8 @@ class Index:
         self.bits = [[_mix(symbols, SEED + 1000 * w + block) for block in range(
             -(-2 * longest // 64))] for w in range(walks)]
         self.labels = _mix(symbols, SEED)
+        self.spelled = {w + mark: n for w, n in vocabulary.items() for mark in ("", ".", ",")}
+        self.distinct = [np.unique(c) for c in coded]
         pairs = [self.pair_keys(c) for c in coded]
         keys = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.uint64)
         self.pairs = Lookup(keys, np.ones(len(keys)))
@@ -128,8 +147,24 @@ class Index:
             sort = np.argsort(flat, kind="stable")
             self.tables[length] = flat[sort], item[sort]
             self.lengths.append(length)
+            self.needs[length] = max(1, min(self._needed(coded[i]) for i in own))
         return self
 
+    def _needed(self, item: np.ndarray) -> int:
+        """Word pairs that a stretch within the distance shares with the item, at least.
+
+        An edit takes two pairs. A pair that repeats the one before it is not counted: a stretch may
+        begin within such a run, and in an item that has runs an edit may take one pair more.
+        """
+        runs = int(_repeated(item).sum()) if len(item) > 2 else 0
+        edits = allowed(len(item), self.similarity)
+        return len(item) - 2 - runs - (3 if runs else 2) * edits
+
+    def codes(self, text: str) -> np.ndarray:
+        """Numbers of the words of a lower-cased text; 0 for a word that no item has."""
+        words = text.split() if _even(text) else _WORD.findall(text)
+        return np.fromiter(map(self.spelled.get, words, repeat(0)), np.int64, len(words))
+
     @staticmethod
     def pair_keys(codes: np.ndarray) -> np.ndarray:
         return (codes[:-1].astype(np.uint64) << np.uint64(32)) | codes[1:].astype(np.uint64)
@@ -167,35 +202,37 @@ class Index:
         """
         n = len(text)
         places = np.flatnonzero((text[:-1] > 0) & (text[1:] > 0))
-        hit = np.zeros(n, np.int64)
+        hit = np.zeros(n, np.int32)
         hit[places] = self.pairs.get(
             (text[places].astype(np.uint64) << np.uint64(32)) | text[places + 1].astype(np.uint64))[1]
-        sums = np.concatenate([[0], np.cumsum(hit)])
-        at, found = np.arange(n), []
+        hit[1:-1][_repeated(text)] = 0
+        sums = np.concatenate([[0], np.cumsum(hit, dtype=np.int32)])
+        found = []
+        needs = self.needs
+        widest = max(m + allowed(m, self.similarity) - 1 for m in self.lengths)
+        at = np.arange(n)
+        at = at[sums[np.minimum(at + widest, ends)] - sums[:-1] >= min(needs.values())]
         for length in self.lengths:
-            edits = allowed(length, self.similarity)
-            until = np.minimum(at + (length + edits - 1), ends)
-            starts = np.flatnonzero(sums[until] - sums[:-1] >= max(length - 1 - 2 * edits, 1))
+            until = np.minimum(at + (length + allowed(length, self.similarity) - 1), ends[at])
+            starts = at[sums[until] - sums[at] >= needs[length]]
             known, items = self.tables[length]
             for part in range(0, len(starts), WINDOWS):
                 own = starts[part:part + WINDOWS]
                 keys = self.keys(text, own, np.minimum(own + length, ends[own]), length)
                 for row in keys:
-                    low = np.searchsorted(known, row, "left")
-                    count = np.searchsorted(known, row, "right") - low
-                    met = np.flatnonzero(count)
+                    low = np.searchsorted(known, row)
+                    met = np.flatnonzero(known[np.minimum(low, len(known) - 1)] == row)
                     if len(met):
-                        count = count[met]
+                        count = np.searchsorted(known, row[met], "right") - low[met]
                         before = np.repeat(np.cumsum(count) - count, count)
                         entry = np.repeat(low[met], count) + np.arange(count.sum()) - before
                         found.append(np.stack([items[entry], np.repeat(own[met], count)], axis=1))
         return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
 
-    def matches(self, texts: list[list[str]]) -> list[tuple[int, int, int, int, int, int]]:
-        """``text, item id, item length, distance, start, end`` of each item found in a text: its
-        best stretch."""
-        get = self.vocabulary.get
-        codes = [np.fromiter((get(w, 0) for w in words), np.int64, len(words)) for words in texts]
+    def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int, int]]:
+        """``text, item id, item length, distance, start, end`` of each item found in one of the
+        lower-cased texts: its best stretch."""
+        codes = [self.codes(text) for text in texts]
         lengths = np.array([len(c) + 1 for c in codes], np.int64)
         last = np.cumsum(lengths) - 1
         if not len(lengths) or not self.lengths:
@@ -217,10 +254,13 @@ class Index:
                 while at + 1 < len(starts) and starts[at + 1] - edits <= end:
                     at += 1
                     end = starts[at] + len(wanted) + 2 * edits
-                distance, a, b = best_stretch(wanted, words[begin:end])
+                at += 1
+                stretch = words[begin:end]
+                if np.isin(self.distinct[item], stretch).sum() < len(self.distinct[item]) - edits:
+                    continue  # every word of the item that is missing takes an edit
+                distance, a, b = best_stretch(wanted, stretch)
                 if distance <= edits and (best is None or distance < best[0]):
                     best = distance, begin + a, begin + b
-                at += 1
             if best:
                 out.append((number, self.ids[item], len(wanted), *best))
         return out
@@ -261,7 +301,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, similarity: float =
             for batch in batches:
                 rows, ids = [], batch.column("doc_id").to_pylist()
                 texts = [text.lower() for text in batch.column("text").to_pylist()]
-                found = index.matches([_WORD.findall(text) for text in texts])
+                found = index.matches(texts)
                 for number, item, length, distance, a, b in found:
                     spans = [m.span() for n, m in zip(range(b), _WORD.finditer(texts[number]))
                              if n >= a]
