@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from medallion.catalog import Query
 from medallion.llm import (
-    decontamination, exact_dedup, language_id, line_dedup, lm_scoring, packing, simhash,
+    chat, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, packing, simhash,
     token_counts, toxicity,
 )
 from medallion.llm.common import read_table
@@ -55,7 +55,12 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
+    "op6_chat_formatting": Query(op6_chat_formatting),
     "op5_benchmark_decontamination": Query(op5_benchmark_decontamination),
     "op8_lm_scoring": Query(op8_lm_scoring),
     "op3_language_id": Query(op3_language_id),

@@ -177,3 +177,32 @@ def identify(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
     rows = id_and_text(documents).select(
         "doc_id", "text", (~learned_rows(F.col("doc_id"))).alias("held_out"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def keep_known(documents: DataFrame, least_score: float, sample: int = SAMPLE) -> DataFrame:
+    """The documents whose text belongs to a language, with all their columns.
+
+    A row stays if its text has letters and at least ``least_score`` of its n-grams belong to one
+    language. A null ``lang`` is filled with the prediction. If nothing can be learned, rows with
+    letters stay.
+    """
+    shared = _predictor(documents, sample)
+    columns = documents.columns
+    text, lang = columns.index("text"), columns.index("lang")
+
+    def run(batches):
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text).to_pylist()]
+            if shared.value is None:
+                keep = np.array([any(c.isalpha() for c in t) for t in texts], bool)
+                langs = [None] * len(texts)
+            else:
+                langs, scores = shared.value.decide(texts)
+                keep = (scores >= least_score) & np.array([x != UNKNOWN for x in langs], bool)
+            given = batch.column(lang).to_pylist()
+            filled = [a if a is not None else b for a, b in zip(given, langs, strict=True)]
+            out = list(batch.columns)
+            out[lang] = pa.array(filled, batch.schema.field(lang).type)
+            yield pa.RecordBatch.from_arrays(out, schema=batch.schema).filter(pa.array(keep))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -205,33 +205,47 @@ def keep_bitmaps(documents: DataFrame, min_chars: int = MIN_CHARS,
     return places.mapInArrow(pack, "sid long, th long, n_dropped long, bitmap binary")
 
 
+def _cut(batches):
+    """The text column without the lines its bitmap clears; the bitmap goes."""
+    for batch in batches:
+        at, bitmaps = batch.schema.get_field_index("text"), batch.column("_bitmap")
+        texts = []
+        for text, bitmap in zip(batch.column(at), bitmaps, strict=True):
+            text = text.as_py()
+            if bitmap.is_valid:
+                lines = text.split("\n")
+                kept = unpack_bitmap(bitmap.as_py(), len(lines))
+                text = "\n".join(x for x, k in zip(lines, kept, strict=True) if k)
+            texts.append(text)
+        columns = list(batch.columns)
+        columns[at] = pa.array(texts, batch.schema.field(at).type)
+        yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).drop_columns(["_bitmap"])
+
+
+def with_lines_dropped(documents: DataFrame, min_chars: int = MIN_CHARS,
+                       min_docs: int = MIN_DOCS) -> DataFrame:
+    """The rows of the table with all their columns, the text without the lines that go, and the
+    number of them as ``_dropped``. A null text stays null."""
+    bitmaps = keep_bitmaps(documents, min_chars, min_docs).select(
+        F.col("sid").alias("_sid"), F.col("th").alias("_th"),
+        F.col("n_dropped").alias("_dropped"), F.col("bitmap").alias("_bitmap"))
+    marked = documents.withColumns({
+        "_sid": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)),
+        "_th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    joined = marked.join(bitmaps, ["_sid", "_th"], "left").drop("_sid", "_th").withColumn(
+        "_dropped", F.coalesce("_dropped", F.lit(0).cast("long")))
+    return joined.mapInArrow(_cut, joined.drop("_bitmap").schema)
+
+
 def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS,
                 min_docs: int = MIN_DOCS) -> DataFrame:
     """One row per row of the table: ``doc_id, n_lines, n_dropped, text``, the text without the
     lines that go. Null texts come back empty; a text whose lines all go is empty."""
-
-    def keep(batches):
-        for batch in batches:
-            texts = []
-            bitmaps = batch.column("bitmap")
-            for text, bitmap in zip(batch.column("text"), bitmaps, strict=True):
-                text = text.as_py()
-                if bitmap.is_valid:
-                    lines = text.split("\n")
-                    kept = unpack_bitmap(bitmap.as_py(), len(lines))
-                    text = "\n".join(x for x, k in zip(lines, kept, strict=True) if k)
-                texts.append(text)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "n_lines", "n_dropped")),
-                 pa.array(texts, pa.string())], names=["doc_id", "n_lines", "n_dropped", "text"])
-
-    bitmaps = keep_bitmaps(documents, min_chars, min_docs)
-    joined = keyed_rows(documents).join(bitmaps, ["sid", "th"], "left")
+    rows = id_and_text(documents)
     newlines = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit("")))
-    return joined.select(
-        "doc_id", (newlines + 1).cast("long").alias("n_lines"),
-        F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped"), "bitmap",
-        "text").mapInArrow(keep, "doc_id long, n_lines long, n_dropped long, text string")
+    cut = with_lines_dropped(
+        rows.withColumn("n_lines", (newlines + 1).cast("long")), min_chars, min_docs)
+    return cut.select("doc_id", "n_lines", F.col("_dropped").alias("n_dropped"), "text")
 
 
 SQL = r"""

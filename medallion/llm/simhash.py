@@ -59,16 +59,19 @@ def fingerprint(text: str, width: int = WIDTH) -> int:
 
 
 def fingerprints(documents: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``doc_id, fp`` per row, ``fp`` as a signed 64-bit integer; a text without words gives 0."""
+    """``doc_id, th, fp`` per row: id, the text's hash, and the fingerprint as a signed 64-bit
+    integer; a text without words gives 0."""
     prepare_workers(documents.sparkSession)
 
     def run(batches):
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), width) for t in batch.column("text")], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+                [batch.column("doc_id"), batch.column("th"), pa.array(fps.view(np.int64))],
+                names=["doc_id", "th", "fp"])
 
-    return id_and_text(documents).mapInArrow(run, "doc_id long, fp long")
+    rows = id_and_text(documents).withColumn("th", F.xxhash64("text"))
+    return rows.mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def _agreeing(blocks: int, radius: int) -> list[int]:
@@ -223,6 +226,26 @@ def links(distinct: DataFrame, radius: int = RADIUS, chunk: int = CHUNK,
         _compare(radius), "a long, b long")
 
 
+def labelled(documents: DataFrame, width: int = WIDTH, radius: int = RADIUS,
+             chunk: int = CHUNK) -> DataFrame:
+    """``doc_id, th, fp, root, component_id`` per row; ``root`` is a component's smallest
+    fingerprint and stands for it even where no row has an id."""
+    rows = written(fingerprints(documents, width), "simhash")
+    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"),
+                                              F.count("*").alias("n")), "simhash")
+    roots = components(links(distinct.select("fp"), radius, chunk), "simhash")
+    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
+        "fp", "least", "n", F.coalesce("root", "fp").alias("root"))
+    smallest = rooted.groupBy("root").agg(
+        F.min("least").alias("component_id"), F.sum("n").alias("rows")).where("rows > 1")
+    # What is alone names itself and needs no lookup.
+    named = rooted.join(smallest, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp", "left").select(
+        "doc_id", "th", "fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(
+            F.col("component_id")).alias("component_id"))
+
+
 def near_dedup(documents: DataFrame, width: int = WIDTH, radius: int = RADIUS,
                chunk: int = CHUNK) -> DataFrame:
     """One row per row of the table: ``doc_id, fingerprint, component_id``.
@@ -233,17 +256,20 @@ def near_dedup(documents: DataFrame, width: int = WIDTH, radius: int = RADIUS,
     component of such rows alone has a null id. Repeated rows come out each. Other columns are not
     read; an empty table gives no rows.
     """
-    rows = written(fingerprints(documents, width), "simhash")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"),
-                                              F.count("*").alias("n")), "simhash")
-    roots = components(links(distinct.select("fp"), radius, chunk), "simhash")
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "least", "n", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(
-        F.min("least").alias("component_id"), F.sum("n").alias("rows")).where("rows > 1")
-    # What is alone names itself and needs no lookup.
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    found = rows.join(named, "fp", "left")
-    return found.select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        F.coalesce("component_id", "doc_id").alias("component_id"))
+    return labelled(documents, width, radius, chunk).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def representatives(documents: DataFrame, width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
+    """The documents without their near copies, with all their columns: of each component the row
+    with the smallest ``doc_id`` (rows without an id come last; ties by the text's hash); of rows
+    that repeat it, one."""
+    last = F.lit((1 << 63) - 1)
+    stay = labelled(documents, width, radius).groupBy("root").agg(
+        F.min(F.struct(F.coalesce("doc_id", last).alias("id"), "th")).alias("s")).select(
+        F.col("s.id").alias("_sid"), F.col("s.th").alias("_th")).distinct()
+    marked = documents.withColumns({
+        "_sid": F.coalesce(F.col("doc_id").cast("long"), last),
+        "_th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    return marked.join(stay, ["_sid", "_th"], "left_semi").dropDuplicates(
+        ["_sid", "_th"]).select(*documents.columns)
