@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections import Counter
 from dataclasses import dataclass
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,9 @@ HELD_OUT, HELD_OUT_IS = 7, 2
 #: UTF-8 never holds these two bytes: what stands before a text, and its end.
 BEFORE, END = 0xFE, 0xFF
 SYMBOLS = 255
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+#: Documents scored at once.
+ROWS = 512
 FLUSH_WORDS = 300_000
 
 
@@ -271,27 +274,35 @@ def score_documents(documents: DataFrame, order: int = ORDER, nodes: int = NODES
     def score(batches):
         trie, known = shared.value
         number = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            texts, out = [], []
-            for text in batch.column("text"):
-                own = words_of(text.as_py())
-                texts.append(b" ".join(own))
-                found = np.fromiter(map(known.get, own, (np.nan,) * len(own)), float, len(own))
-                rare = np.isnan(found)
-                others = Counter(own[i] for i in np.flatnonzero(rare))
-                out.append((number, len(own) + 1, int(len(own) - rare.sum()) + (1 if ends else 0),
-                            float(found[~rare].sum()) + end_log,
-                            [{"word": w, "n": n} for w, n in others.items()]))
-                number += 1
-            columns = list(zip(*out, strict=True)) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(columns[0], pa.int64()),
-                 pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()),
-                 pa.array(columns[3], pa.float64()),
-                 pa.array(columns[4], pa.list_(pa.struct([("word", pa.binary()),
-                                                          ("n", pa.int32())]))),
-                 pa.array(trie.score(texts))],
-                names=["doc_id", "held_out", "row", "n_tokens", "known", "logs", "rare", "score"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                texts, n_tokens, n_known, logs = [], [], [], []
+                words, counts, ends_at = [], [], [0]
+                for text in batch.column("text"):
+                    own = words_of(text.as_py())
+                    texts.append(b" ".join(own))
+                    found = np.fromiter(map(known.get, own, repeat(np.nan)), float, len(own))
+                    rare = np.isnan(found)
+                    others = Counter(own[i] for i in np.flatnonzero(rare))
+                    words.extend(others.keys())
+                    counts.extend(others.values())
+                    ends_at.append(len(words))
+                    n_tokens.append(len(own) + 1)
+                    n_known.append(int(len(own) - rare.sum()) + (1 if ends else 0))
+                    logs.append(float(found[~rare].sum()) + end_log)
+                others = pa.StructArray.from_arrays(
+                    [pa.array(words, pa.binary()), pa.array(counts, pa.int32())], ["word", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("held_out"),
+                     pa.array(np.arange(number, number + len(texts))),
+                     pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
+                     pa.array(logs, pa.float64()),
+                     pa.ListArray.from_arrays(pa.array(ends_at, pa.int32()), others),
+                     pa.array(trie.score(texts))],
+                    names=["doc_id", "held_out", "row", "n_tokens", "known", "logs", "rare",
+                           "score"])
+                number += len(texts)
 
     scored = written(rows.mapInArrow(
         score, "doc_id long, held_out boolean, row long, n_tokens long, known long, logs double, "
