@@ -10,7 +10,8 @@ from medallion.catalog.feed import (
 )
 from medallion.operators.flatten import (
     accepted_pages, clean_players, clean_reviews, flatten_reviews, page_errors, record_dump,
-    rejected_pages, rejected_records, split_page_elements, valid_records, validate_records,
+    rejected_pages, rejected_records, split_page_elements, unreadable_pages, valid_records,
+    validate_records,
 )
 from medallion.operators.ledger import page_stop_states
 from medallion.operators.selection import newest_first, range_batch, select_reviews
@@ -109,6 +110,38 @@ def _page_key(pages: DataFrame) -> DataFrame:
     )
 
 
+def page_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three of four pages are broken, each kind in its own way: no page is lost on the way.
+
+    Every page has its own load time, by which its outcome is found again: the reason, or the
+    number of its bronze rows.
+    """
+    block = F.col("block")
+    broken = (
+        F.when(block % 4 == 0, F.substring("raw_data", 1, 200))
+        .when(block % 4 == 1, F.concat(F.lit('{"app_id": '), F.col("steam_app_id"),
+                                       F.lit(', "reviews": 5}')))
+        .when(block % 4 == 2, F.lit('{"success": 1}')).otherwise(F.col("raw_data"))
+    )
+    loaded = F.timestamp_seconds(block).cast("timestamp_ntz")
+    landing = page_feed(spark, sf_dir).select(
+        broken.alias("raw_data"), loaded.alias("ingested_at"))
+    bad = unreadable_pages(landing).select(
+        "ingested_at", F.array_join("page_failure_reasons", ",").alias("outcome"),
+        F.lit(0).cast("bigint").alias("n_rows"))
+    good = flatten_reviews(landing).groupBy("ingested_at").agg(F.count("*").alias("n_rows"))
+    return bad.union(good.select("ingested_at", F.lit("bronze"), "n_rows"))
+
+
+PAGE_QUARANTINE_SQL = """
+WITH pages AS (SELECT CAST(floor(event_id / 100) AS BIGINT) AS block, count(*) AS n
+               FROM events GROUP BY 1)
+SELECT make_timestamp(block * 1000000) AS ingested_at,
+ CASE block % 4 WHEN 0 THEN 'page:unreadable' WHEN 3 THEN 'bronze'
+      ELSE 'page:reviews_malformed' END AS outcome,
+ CASE WHEN block % 4 = 3 THEN n ELSE 0 END AS n_rows FROM pages"""
+
+
 def page_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = rejected_pages(page_errors(landing_feed(spark, sf_dir)))
     return rejected.select(
@@ -154,6 +187,7 @@ def range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "page_quarantine": Query(page_quarantine, PAGE_QUARANTINE_SQL),
     "page_flatten": Query(page_flatten, f"{ROWS} SELECT {LISTED} FROM rows"),
     "page_files": Query(page_files, f"{ROWS} SELECT {LISTED} FROM rows"),
     "page_folders": Query(page_folders, f"""{ROWS}, pages AS (

@@ -29,6 +29,22 @@ def parse_pages(landing: DataFrame) -> DataFrame:
     return landing.withColumn("page", F.from_json("raw_data", PAGE_SCHEMA)).drop("raw_data")
 
 
+def unreadable_pages(landing: DataFrame) -> DataFrame:
+    """Quarantine of the pages that give no bronze row though they are not empty.
+
+    ``page_failure_reasons`` names ``page:unreadable`` for a document that is no JSON and
+    ``page:reviews_malformed`` for one whose ``reviews`` is missing or no array. All other pages are
+    flattened by ``flatten_reviews``, so every page is in one of the two, or has no reviews.
+    """
+    parsed = _parsed_once(landing, "raw_data", PAGE_SCHEMA, "page")
+    readable = F.try_parse_json("raw_data").isNotNull()
+    reasons = failure_reasons([
+        Rule("page:unreadable", ~readable), Rule("page:reviews_malformed", readable),
+    ])
+    return parsed.where(F.col("page.reviews").isNull()).select(
+        "raw_data", "ingested_at", reasons.alias("page_failure_reasons"))
+
+
 def flatten_reviews(landing: DataFrame) -> DataFrame:
     """Bronze: one all-text row per review, page columns repeated; an empty page gives none."""
     elements = parse_pages(landing).select(
@@ -60,10 +76,13 @@ def type_reviews(bronze: DataFrame) -> DataFrame:
 
 def flag_reviews(bronze: DataFrame) -> DataFrame:
     """Flagged silver: typed row plus the broken rules of the review and of the author grain."""
-    return type_reviews(bronze).withColumns({
-        "review_failure_reasons": failure_reasons(review_rules()),
-        "review_player_failure_reasons": failure_reasons(author_rules()),
-    })
+    typed = type_reviews(bronze)
+    # By way of an explode: a filter on the reasons would take all rules and casts along with it.
+    reasons = F.explode(F.array(F.struct(
+        failure_reasons(review_rules()).alias("review_failure_reasons"),
+        failure_reasons(author_rules()).alias("review_player_failure_reasons"),
+    )))
+    return typed.withColumn("_reasons", reasons).select(*typed.columns, "_reasons.*")
 
 
 # --- V1: validated records ------------------------------------------------------------------
@@ -71,14 +90,10 @@ def flag_reviews(bronze: DataFrame) -> DataFrame:
 
 def split_page_elements(landing: DataFrame) -> DataFrame:
     """One row per review of a page with the review kept as its own JSON text ``raw_json``."""
-    page = F.from_json("raw_data", RAW_ELEMENT_PAGE_SCHEMA)
-    return (
-        landing.withColumn("page", page)
-        .select(
-            F.col("page.app_id").try_cast("bigint").alias("app_id"),
-            "ingested_at",
-            F.explode("page.reviews").alias("raw_json"),
-        )
+    parsed = _parsed_once(landing, "raw_data", RAW_ELEMENT_PAGE_SCHEMA, "page")
+    return parsed.select(
+        to_whole(F.col("page.app_id")).alias("app_id"), "ingested_at",
+        F.posexplode("page.reviews").alias("place", "raw_json"),
     )
 
 
@@ -98,7 +113,7 @@ REQUIRED_AUTHOR = {
 }
 
 
-def _whole(text: Column) -> Column:
+def to_whole(text: Column) -> Column:
     """Whole numbers only: a fraction is an error here, not something to round."""
     exact = text.try_cast("decimal(38,10)")
     return F.coalesce(
@@ -109,7 +124,7 @@ def _whole(text: Column) -> Column:
 
 _FITS = {
     "string": lambda c: c,
-    "bigint": _whole,
+    "bigint": to_whole,
     "double": to_double,
     "boolean": to_boolean,
     "array": lambda c: F.from_json(c, "array<string>"),
@@ -131,7 +146,10 @@ def record_rules(review: Column) -> list[Rule]:
 def validate_records(raw: DataFrame) -> DataFrame:
     """Adds the parsed ``record`` and ``record_errors``, the fields that do not validate."""
     parsed = _parsed_once(raw, "raw_json", REVIEW_SCHEMA, "record")
-    return parsed.withColumn("record_errors", failure_reasons(record_rules(F.col("record"))))
+    rules = record_rules(F.col("record"))
+    if "app_id" in raw.columns:
+        rules = [Rule("app_id", F.col("app_id").isNull()), *rules]
+    return parsed.withColumn("record_errors", failure_reasons(rules))
 
 
 def valid_records(validated: DataFrame) -> DataFrame:
@@ -148,16 +166,16 @@ def clean_reviews(records: DataFrame, source_id: str = "raw_id") -> DataFrame:
     r = F.col("record")
     return records.select(
         "app_id",
-        _whole(r["recommendationid"]).alias("review_id"),
+        to_whole(r["recommendationid"]).alias("review_id"),
         r["language"].alias("language"),
         F.coalesce(r["review"], F.lit("")).alias("review_text"),
-        epoch_utc(_whole(r["timestamp_created"])).alias("timestamp_created"),
-        epoch_utc(_whole(r["timestamp_updated"])).alias("timestamp_updated"),
+        epoch_utc(to_whole(r["timestamp_created"])).alias("timestamp_created"),
+        epoch_utc(to_whole(r["timestamp_updated"])).alias("timestamp_updated"),
         to_boolean(r["voted_up"]).alias("voted_positive"),
-        _whole(r["votes_up"]).alias("votes_helpful"),
-        _whole(r["votes_funny"]).alias("votes_funny"),
+        to_whole(r["votes_up"]).alias("votes_helpful"),
+        to_whole(r["votes_funny"]).alias("votes_funny"),
         to_double(r["weighted_vote_score"]).alias("weighted_vote_score"),
-        _whole(r["comment_count"]).alias("review_comment_count"),
+        to_whole(r["comment_count"]).alias("review_comment_count"),
         to_boolean(r["steam_purchase"]).alias("steam_purchase"),
         to_boolean(r["received_for_free"]).alias("received_for_free"),
         to_boolean(r["written_during_early_access"]).alias("written_during_early_access"),
@@ -171,13 +189,13 @@ def clean_players(records: DataFrame) -> DataFrame:
     r, author = F.col("record"), F.col("record.author")
     return records.select(
         "app_id",
-        _whole(r["recommendationid"]).alias("review_id"),
-        _whole(author["steamid"]).alias("steam_user_id"),
-        _whole(author["num_games_owned"]).alias("num_games_owned"),
-        _whole(author["playtime_forever"]).alias("total_playtime_mins"),
-        _whole(author["playtime_last_two_weeks"]).alias("playtime_last_two_weeks_mins"),
-        _whole(author["playtime_at_review"]).alias("playtime_at_review_mins"),
-        epoch_utc(_whole(author["last_played"])).alias("last_played"),
+        to_whole(r["recommendationid"]).alias("review_id"),
+        to_whole(author["steamid"]).alias("steam_user_id"),
+        to_whole(author["num_games_owned"]).alias("num_games_owned"),
+        to_whole(author["playtime_forever"]).alias("total_playtime_mins"),
+        to_whole(author["playtime_last_two_weeks"]).alias("playtime_last_two_weeks_mins"),
+        to_whole(author["playtime_at_review"]).alias("playtime_at_review_mins"),
+        epoch_utc(to_whole(author["last_played"])).alias("last_played"),
     )
 
 
@@ -189,7 +207,7 @@ def record_dump(record: Column) -> Column:
     """
     author = record["author"]
     typed = {
-        "bigint": _whole, "double": to_double, "boolean": to_boolean, "string": lambda c: c,
+        "bigint": to_whole, "double": to_double, "boolean": to_boolean, "string": lambda c: c,
     }
     fields = [
         typed[kind](record[name]).alias(name)
@@ -202,6 +220,9 @@ def record_dump(record: Column) -> Column:
     ))
 
 
+# Whole numbers of the page summary that may be missing.
+OPTIONAL_SUMMARY = ["review_score", "total_positive", "total_negative", "total_reviews"]
+
 # --- page level -----------------------------------------------------------------------------
 
 
@@ -216,10 +237,12 @@ def page_errors(landing: DataFrame) -> DataFrame:
         return any_of(rule.broken for rule in record_rules(review))
 
     rules = [
-        Rule("success", _whole(page["success"]).isNull()),
-        Rule("num_reviews", _whole(page["query_summary"]["num_reviews"]).isNull()),
+        Rule("success", to_whole(page["success"]).isNull()),
+        Rule("num_reviews", to_whole(page["query_summary"]["num_reviews"]).isNull()),
+        *[Rule(name, page["query_summary"][name].isNotNull()
+               & to_whole(page["query_summary"][name]).isNull()) for name in OPTIONAL_SUMMARY],
         Rule("cursor", page["cursor"].isNull()),
-        Rule("app_id", _whole(page["app_id"]).isNull()),
+        Rule("app_id", to_whole(page["app_id"]).isNull()),
         Rule("reviews", F.coalesce(F.exists(page["reviews"], bad_review), F.lit(True))),
     ]
     parsed = _parsed_once(landing, "raw_data", PAGE_SCHEMA, "page")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from medallion.functions.predicates import all_of
 
@@ -38,6 +38,10 @@ def orphans(child: DataFrame, parent: DataFrame, pairs: dict[str, str]) -> DataF
     return child.join(orphan_keys(child, parent, pairs), list(pairs), "left_semi")
 
 
+def _known(pairs: dict[str, str]) -> Column:
+    return all_of(F.col(k).isNotNull() for k in pairs)
+
+
 def restricting_children(
     child: DataFrame, deleted: DataFrame, pairs: dict[str, str],
 ) -> DataFrame:
@@ -48,19 +52,25 @@ def restricting_children(
 
 
 def cascade_delete(child: DataFrame, deleted: DataFrame, pairs: dict[str, str]) -> DataFrame:
-    """Children that stay when the parents in ``deleted`` go."""
-    return child.join(_as_child_keys(deleted, pairs).distinct(), list(pairs), "left_anti")
+    """Children that stay when the parents in ``deleted`` go; a NULL foreign key meets no join."""
+    known = _known(pairs)
+    gone = _as_child_keys(deleted, pairs).distinct()
+    return child.where(known).join(gone, list(pairs), "left_anti").select(*child.columns).union(
+        child.where(~known))
 
 
 def set_null_delete(child: DataFrame, deleted: DataFrame, pairs: dict[str, str]) -> DataFrame:
-    """All children, the foreign key of those with a deleted parent set to NULL."""
+    """All children, the foreign key of those with a deleted parent set to NULL.
+
+    The keys that are NULL already, in the end perhaps most of them, are led around the join.
+    """
     keys = list(pairs)
     gone = _as_child_keys(deleted, pairs).distinct().withColumn("_gone", F.lit(True))
-    joined = child.join(gone, keys, "left")
+    joined = child.where(_known(pairs)).join(gone, keys, "left")
     return joined.select(*[
         (F.when(F.col("_gone").isNull(), F.col(c)).alias(c) if c in keys else F.col(c))
         for c in child.columns
-    ])
+    ]).union(child.where(~_known(pairs)))
 
 
 def missing_rows(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:

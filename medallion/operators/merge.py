@@ -166,8 +166,8 @@ def merge_history(
 ) -> DataFrame:
     """Rows that replace ``current``: kept and new open versions, and the versions closed now.
 
-    Closed versions of earlier batches never take part; the caller holds them apart and only adds
-    to them. One join does the work of the new/expire/reopen branches.
+    Closed versions of earlier batches never take part: a caller holds them apart and only adds to
+    them, or leaves them in and gets them back. One join does the new/expire/reopen branches.
     """
     if not merge.null_keys:
         return _merge_history(current, source, merge, now)
@@ -203,8 +203,10 @@ def _versions(merge: HistoryMerge, now) -> dict[str, Column]:
 
 
 def _merge_history(current, source, merge, now):
+    # Closed versions match nothing and pass through as they are.
     joined = _marked(current, "_t").join(
-        _marked(source, "_s"), _on_keys("_t", "_s", merge.keys), "full_outer"
+        _marked(source, "_s"), _on_keys("_t", "_s", merge.keys) & F.col("_t.is_current"),
+        "full_outer",
     )
     version = _versions(merge, now)
     changed = any_distinct("_t", "_s", merge.compare)

@@ -49,12 +49,11 @@ def select_reviews(
 
 
 def newest_first(filter_name: str) -> list[Column]:
-    """Sort order of the ``recent`` (created) and ``updated`` filters; ``all`` has none."""
+    """Sort order of the ``recent`` (created) and ``updated`` filters; ``all`` has none but the id."""
     _checked("filter", filter_name, ORDER_FILTERS)
     by = {"recent": "timestamp_created", "updated": "timestamp_updated"}.get(filter_name)
-    if by is None:
-        return []
-    return [to_timestamp_ntz(F.col(by)).desc_nulls_last(), F.col("review_id")]
+    newest = [] if by is None else [to_timestamp_ntz(F.col(by)).desc_nulls_last()]
+    return [*newest, F.col("review_id")]
 
 
 def keyset_page(rows: DataFrame, key: str, after: Any, size: int) -> DataFrame:

@@ -88,8 +88,24 @@ def with_surrogate_ids(rows: DataFrame, batch_id: int) -> DataFrame:
     })
 
 
+def with_ordered_id(
+    rows: DataFrame, batch_id: int, loaded: str, updated: str, place: str, digest: str,
+) -> DataFrame:
+    """Surrogate text id that rises with batch, load time, update time and place in the page.
+
+    All parts come from the data, so a repeated batch gives the same ids, and the order of the ids
+    is the order of arrival: of two versions of one load the one updated later is the later one.
+    The digest only tells apart what is equal in all that.
+    """
+    return rows.withColumn("raw_id", F.concat_ws(
+        "-", F.lpad(F.lit(batch_id).cast("string"), 12, "0"),
+        F.date_format(loaded, "yyyyMMddHHmmssSSSSSS"),
+        F.lpad(F.greatest(F.coalesce(F.col(updated), F.lit(0)), F.lit(0)).cast("string"), 19, "0"),
+        F.lpad(F.col(place).cast("string"), 6, "0"), F.substring(digest, 1, 16)))
+
+
 def with_content_id(rows: DataFrame) -> DataFrame:
-    """Repeatable surrogate id made of the version key."""
+    """Repeatable id made of the version key: an identity, without any order."""
     return rows.withColumn(
         "raw_id", F.concat_ws("-", F.col("app_id"), F.col("review_id"), F.col("hash_raw_json"))
     )

@@ -85,7 +85,8 @@ class Dimension:
         return merge_current(target, source, merge, now, broadcast_source=broadcast_source)
 
     def run(self, spark, table: SnapshotTable, batch_id: int, flagged: DataFrame, now,
-            late_policy: str = "last_batch", consumed_upto: int | None = None) -> bool:
+            late_policy: str = "last_batch", consumed_upto: int | None = None,
+            origin: str = "") -> bool:
         """Merge one batch of flagged rows into the written dimension."""
         def merge(current: DataFrame, staged: DataFrame) -> DataFrame:
             # The staged source is a written table, so measuring it is a scan of the batch only.
@@ -93,7 +94,7 @@ class Dimension:
                      and measured_bytes(staged) <= BROADCAST_BYTES)
             return self.merged(current, staged, now, late_policy, broadcast_source=small)
 
-        return table.apply(spark, batch_id, self.source(flagged), merge, consumed_upto)
+        return table.apply(spark, batch_id, self.source(flagged), merge, consumed_upto, origin)
 
 
 def newer_than_current(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,10 +37,14 @@ def build_session(app_name: str = "medallion", master: str | None = None,
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written intermediate tables.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Only where that is
-    unset, as in a local test, a temporary folder of this machine is taken.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Where that is unset a
+    temporary folder of this machine is taken if driver and executors are one process; on a cluster
+    each executor would write to its own disk, so that is refused.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder; the master is {master}")
         shared = tempfile.mkdtemp(prefix="medallion-")
     return f"{shared.rstrip('/')}/medallion/{purpose}-{uuid.uuid4().hex}"

@@ -36,16 +36,6 @@ def write_bucketed(
     )
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows of a table of few files, dealt out to all cores before costly row work.
-
-    A file with one row group is one task. A table of more files than cores is left as it is, so
-    large inputs are never shuffled for this.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
-
-
 def as_view(rows: DataFrame, name: str) -> DataFrame:
     rows.createOrReplaceTempView(name)
     return rows.sparkSession.table(name)

@@ -3,11 +3,15 @@
 ``data/batch_id=N/is_current=.../bucket=...`` holds what batch N wrote: the new rows of every
 bucket it touched and, for a history table, the versions it closed. ``commits`` says which batch
 holds the current rows of a bucket. The commit of a batch is one small file written last, so a
-reader sees the table before or after a batch and never between; a batch that already has its
-commit is not run again, and files of a batch without one are replaced by its retry.
+reader sees the table before or after a batch and never between.
 
-A batch costs what it touches: only the buckets of its keys are read and rewritten, and closed
-versions are only ever added.
+The table numbers its batches itself. A commit names the source it came from and the batch's number
+there: a batch that already has its commit is not run again, one that is older than the last
+of its source is refused, and batches of different sources never meet. Files of a batch without a
+commit are replaced by the next one, which takes the same number.
+
+Only the buckets of a batch's keys are read and rewritten, and closed versions are only ever added.
+With fewer keys than buckets that is less than the table; larger batches touch all of it.
 """
 
 from __future__ import annotations
@@ -20,6 +24,9 @@ from pyspark.errors import AnalysisException
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("source_batch", T.LongType()),
+    T.StructField("buckets", T.IntegerType()),
     T.StructField("consumed_upto", T.LongType()),
     T.StructField("bucket", T.IntegerType()),
 ])
@@ -57,15 +64,32 @@ class SnapshotTable:
         last = self.commits(spark).agg(F.max("consumed_upto").alias("upto")).first()["upto"]
         return NOTHING if last is None else last
 
-    def is_committed(self, spark: SparkSession, batch_id: int) -> bool:
-        return not self.commits(spark).where(F.col("batch_id") == batch_id).isEmpty()
+    def is_committed(self, spark: SparkSession, batch_id: int, source: str = "") -> bool:
+        """Whether the batch of this number of a source is in the table.
+
+        A batch that comes after a later one of its source is an error: it would undo that.
+        """
+        known = self.commits(spark).where(F.col("source") == source)
+        found = known.agg(F.max(F.col("source_batch") == batch_id).alias("there"),
+                          F.max("source_batch").alias("last")).first()
+        if found["last"] is not None and batch_id < found["last"] and not found["there"]:
+            raise ValueError(
+                f"batch {batch_id} of {source!r} comes after batch {found['last']} in {self.path}")
+        return bool(found["there"])
+
+    def _next_batch(self, spark: SparkSession) -> int:
+        last = self.commits(spark).agg(F.max("batch_id").alias("last")).first()["last"]
+        return 0 if last is None else last + 1
 
     def _owners(self, spark: SparkSession) -> dict[int, int]:
         """Bucket to the batch holding its current rows; never more entries than buckets."""
         owners = (
-            self.commits(spark).where(F.col("bucket") >= 0)
-            .groupBy("bucket").agg(F.max("batch_id").alias("batch_id")).collect()
+            self.commits(spark).where(F.col("bucket") >= 0).groupBy("bucket")
+            .agg(F.max("batch_id").alias("batch_id"), F.max("buckets").alias("buckets")).collect()
         )
+        if any(row["buckets"] != self.buckets for row in owners):
+            raise ValueError(f"{self.path} was written with another number of buckets than "
+                             f"{self.buckets}")
         return {row["bucket"]: row["batch_id"] for row in owners}
 
     def _read(self, spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -110,22 +134,29 @@ class SnapshotTable:
     def apply(
         self, spark: SparkSession, batch_id: int, source: DataFrame,
         merge: Callable[[DataFrame, DataFrame], DataFrame], consumed_upto: int | None = None,
+        origin: str = "",
     ) -> bool:
         """Merge one batch; gives False when the batch is in the table already.
 
-        ``source`` has one row per key. It is written first: its keys name the buckets and the
-        merge then reads the written rows, so neither is computed twice.
+        ``source`` has one row per key; two rows of a key are an error, as a merge would double the
+        target row. It is written first: its keys name the buckets and the merge then reads the
+        written rows, so neither is computed twice. ``batch_id`` is the number ``origin`` gave it.
         """
-        if self.is_committed(spark, batch_id):
+        if self.is_committed(spark, batch_id, origin):
             return False
-        staged_path = f"{self.path}/staged/batch_id={batch_id}"
+        number = self._next_batch(spark)
+        staged_path = f"{self.path}/staged/batch_id={number}"
         source.withColumn("_bucket", self.bucket_of()).write.mode("overwrite").parquet(staged_path)
         staged = spark.read.parquet(staged_path)
-        touched = [row["_bucket"] for row in staged.select("_bucket").distinct().collect()]
+        keys = staged.groupBy("_bucket", *self.keys).agg(F.count("*").alias("rows"))
+        seen = keys.groupBy("_bucket").agg(F.max("rows").alias("rows")).collect()
+        if any(row["rows"] > 1 for row in seen):
+            raise ValueError(f"batch {batch_id} has two rows of one key for {self.path}")
+        touched = [row["_bucket"] for row in seen]
         if touched:
             merged = merge(self.current(spark, touched), staged.drop("_bucket"))
-            self._write(merged, batch_id)
-        self._commit(spark, batch_id, touched,
+            self._write(merged, number)
+        self._commit(spark, number, origin, batch_id, touched,
                      batch_id if consumed_upto is None else consumed_upto)
         return True
 
@@ -140,9 +171,11 @@ class SnapshotTable:
         )
 
     def _commit(
-        self, spark: SparkSession, batch_id: int, touched: list[int], upto: int,
+        self, spark: SparkSession, batch_id: int, origin: str, source_batch: int,
+        touched: list[int], upto: int,
     ) -> None:
-        rows = [(batch_id, upto, bucket) for bucket in touched or [NOTHING]]
+        rows = [(batch_id, origin, source_batch, self.buckets, upto, bucket)
+                for bucket in touched or [NOTHING]]
         (
             spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
             .write.mode("overwrite").json(f"{self.path}/commits/{batch_id}")

@@ -8,11 +8,11 @@ with ``trigger=None`` takes what is there and stops, with a lag like ``"1 minute
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from medallion.operators.flatten import flag_reviews, flatten_reviews
+from medallion.operators.flatten import flag_reviews, flatten_reviews, unreadable_pages
 from medallion.operators.quarantine import player_quarantine, review_quarantine
 from medallion.plans.dims import Dimension
 from medallion.schemas import BRONZE_SCHEMA, LANDING_SCHEMA
@@ -58,6 +58,14 @@ def start_bronze(
     return _append(flatten_reviews(rows), bronze, checkpoint, trigger)
 
 
+def start_page_quarantine(
+    spark: SparkSession, landing: str, target: str, checkpoint: str, trigger: str | None = None,
+) -> StreamingQuery:
+    """Landing rows that ``start_bronze`` can make no rows of, with the reason."""
+    rows = spark.readStream.schema(LANDING_SCHEMA).parquet(landing)
+    return _append(unreadable_pages(rows), target, checkpoint, trigger)
+
+
 def start_flagged(
     spark: SparkSession, bronze: str, flagged: str, checkpoint: str, trigger: str | None = None,
 ) -> StreamingQuery:
@@ -81,13 +89,16 @@ def start_consumer(
 ) -> StreamingQuery:
     """Merge new flagged rows into a dimension.
 
-    A batch that is repeated after a failure has the same number and is not merged twice.
+    A batch that is repeated after a failure has the same number and is not merged twice. Numbers
+    count per checkpoint, whose id is the origin of the batch: a new checkpoint on an old table
+    starts over without being taken for what is there already.
     """
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         at = F.localtimestamp() if now is None else now
-        dimension.run(batch.sparkSession, table, batch_id, batch, at, late_policy)
+        origin = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        dimension.run(batch.sparkSession, table, batch_id, batch, at, late_policy, origin=origin)
 
     reader = spark.readStream.schema(flagged_schema(spark))
     if max_files:
@@ -119,6 +130,25 @@ def last_batch(spark: SparkSession, path: str) -> int:
     return markers.agg(F.max("ingest_batch").alias("last")).first()["last"]
 
 
+def finished_upto(spark: SparkSession, path: str, after: int, first: int = 0) -> int:
+    """Last batch of the unbroken run of finished batches that follows ``after``.
+
+    ``first`` is the number of the first batch the source ever writes.
+    """
+    try:
+        markers = spark.read.schema("ingest_batch bigint").json(f"{path}/markers/*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return after
+    later = markers.where(F.col("ingest_batch") > after).select("ingest_batch").distinct()
+    place = F.row_number().over(Window.orderBy("ingest_batch"))
+    run = later.select("ingest_batch", place.alias("place")).where(
+        F.col("ingest_batch") == F.col("place") + (max(after + 1, first) - 1))
+    last = run.agg(F.max("ingest_batch").alias("last")).first()["last"]
+    return after if last is None else last
+
+
 def read_batches(
     spark: SparkSession, path: str, schema: T.StructType, after: int, upto: int,
 ) -> DataFrame:
@@ -133,13 +163,15 @@ def read_batches(
 
 def consume_batches(
     spark: SparkSession, flagged: str, dimension: Dimension, table: SnapshotTable, now: str,
-    late_policy: str = "last_batch",
+    late_policy: str = "last_batch", first: int = 0,
 ) -> int:
     """Merge all batches a dimension has not seen; gives the number of the last one merged.
 
-    The position is part of the commit of the dimension, so data and position move together.
+    The position is part of the commit of the dimension, so data and position move together. It
+    stops before a batch that has no marker yet, so one that finishes late is not passed over.
     """
-    after, upto = table.consumed_upto(spark), last_batch(spark, flagged)
+    after = table.consumed_upto(spark)
+    upto = finished_upto(spark, flagged, after, first)
     if upto > after:
         rows = read_batches(spark, flagged, flagged_schema(spark), after, upto)
         dimension.run(spark, table, upto, rows, now, late_policy, consumed_upto=upto)
