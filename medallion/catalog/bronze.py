@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from medallion.catalog import Query, table
@@ -17,7 +19,7 @@ from medallion.operators.ledger import page_stop_states
 from medallion.operators.selection import newest_first, range_batch, select_reviews
 from medallion.schemas import BRONZE_TEXT
 from medallion.session import scratch_folder
-from medallion.sources.layout import write_by_day
+from medallion.sources.layout import write_bucketed, write_by_day
 from medallion.sources.pages import read_pages, read_parsed_pages, to_landing, write_pages
 
 NOW = "2026-03-01 00:00:00"
@@ -64,6 +66,15 @@ def clean_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bucketed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table bucketed by its key is aggregated by the key without a shuffle."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    rows = bronze_feed(spark, sf_dir).select("app_id", "review_id", "votes_up")
+    write_bucketed(rows, name, scratch_folder(spark, name), ["app_id", "review_id"], 8)
+    return spark.table(name).groupBy("app_id", "review_id").agg(
+        F.count("*").alias("n_rows"), F.max("votes_up").alias("votes_up"))
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     elements = split_page_elements(landing_feed(spark, sf_dir))
     return validate_records(elements)
@@ -187,6 +198,8 @@ def range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "bucketed_layout": Query(bucketed_layout, f"""SELECT app_id, review_id, count(*) AS n_rows,
+        max(votes_up) AS votes_up FROM ({bronze_feed_sql()}) GROUP BY 1, 2"""),
     "page_quarantine": Query(page_quarantine, PAGE_QUARANTINE_SQL),
     "page_flatten": Query(page_flatten, f"{ROWS} SELECT {LISTED} FROM rows"),
     "page_files": Query(page_files, f"{ROWS} SELECT {LISTED} FROM rows"),

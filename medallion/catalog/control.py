@@ -91,7 +91,7 @@ def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = events.select(
         F.col("user_id").cast("string").alias("app_id"),
         F.unix_seconds(F.col("ts").cast("timestamp")).cast("string").alias("timestamp_created"))
-    return backfill_state(_runs(spark, sf_dir), bronze, ledger(spark, sf_dir))
+    return backfill_state(_runs(spark, sf_dir), bronze, ledger(spark, sf_dir), NOW)
 
 
 def dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +114,20 @@ def finished_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished_run_rows(pages.where(~late)).unionByName(failed_run_rows(pages.where(late)))
 
 
+def stop_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of three pages one has nothing to read, one is empty and one has rows."""
+    kind = F.col("block") % 3
+    summary = r'"query_summary":\{[^}]*\}'
+    pages = page_feed(spark, sf_dir).withColumn("raw_data", F.when(
+        kind == 0, F.regexp_replace("raw_data", summary, '"query_summary":{"num_reviews":0}')
+    ).when(kind == 1, F.regexp_replace(
+        "raw_data", summary, '"query_summary":{"num_reviews":0,"total_reviews":50}')
+    ).otherwise(F.col("raw_data")))
+    lax = page_stop_states(pages).withColumn("rule", F.lit("missing is zero"))
+    strict = page_stop_states(pages, False).withColumn("rule", F.lit("missing is unknown"))
+    return lax.union(strict).groupBy("rule", "app_id", "state").agg(F.count("*").alias("n_pages"))
+
+
 def stop_state_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = page_feed(spark, sf_dir)
     return page_stop_states(pages, total_missing_is_zero=False).groupBy("app_id", "state").agg(
@@ -183,7 +197,7 @@ QUERIES = {
         apps AS (SELECT user_id AS app_id, date_trunc('second', min(ts)) AS oldest,
          count(*) FILTER (event_type = 'click') AS pages FROM events GROUP BY 1)
         SELECT app_id, end_cursor AS last_cursor, oldest AS oldest_seen_timestamp,
-        pages AS pages_completed, CASE WHEN status IS NULL THEN 'not_started'
+        pages AS pages_completed, TIMESTAMP '{NOW}' AS updated_at, CASE WHEN status IS NULL THEN 'not_started'
         WHEN status = 'failed' THEN 'failed' WHEN status = 'running' THEN 'in_progress'
         ELSE 'complete' END AS status, finished_at AS last_run_at,
         coalesce(n, 0) AS consecutive_failures
@@ -204,6 +218,13 @@ QUERIES = {
         CASE WHEN day < DATE '2024-01-28' THEN n END AS rows_loaded,
         CASE WHEN day < DATE '2024-01-28' THEN 'SUCCESS' ELSE 'FAILED' END AS status,
         CASE WHEN day >= DATE '2024-01-28' THEN 'timeout' END AS failure_reason FROM pages"""),
+    "stop_states": Query(stop_states, f"""WITH pages AS (SELECT DISTINCT app_id, block
+        FROM ({page_rows_sql()})), stated AS (
+        SELECT 'missing is zero' AS rule, app_id, CASE block % 3 WHEN 0 THEN 'skipped_no_reviews'
+         WHEN 1 THEN 'empty_page' ELSE 'success' END AS state FROM pages
+        UNION ALL SELECT 'missing is unknown', app_id, CASE block % 3 WHEN 2 THEN 'success'
+         ELSE 'empty_page' END FROM pages)
+        SELECT rule, app_id, state, count(*) AS n_pages FROM stated GROUP BY ALL"""),
     "stop_state_strict": Query(stop_state_strict, f"""WITH rows AS ({page_rows_sql()})
         SELECT app_id, 'success' AS state, count(DISTINCT block) AS n_pages FROM rows
         GROUP BY app_id"""),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -129,6 +130,33 @@ def _suite(name: str):
     return build
 
 
+def dq_freshness_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four dimensions by the time of their last merge, seen sooner and later after it."""
+    parts = []
+    for name, hours in (("reviews_scd1", 0), ("reviews_scd2", 1), ("players_scd1", 2),
+                        ("players_scd2", 4)):
+        rows = DIM_QUERIES[name].build(spark, sf_dir)
+        newest = rows.agg(F.max("_dlt_updated_at").alias("at")).scalar()
+        seen = Q.freshness(rows, "_dlt_updated_at", newest + F.expr(f"interval {hours} hours"))
+        parts.append(seen.select(F.lit(name).alias("table_name"), "max_loaded_at", "status"))
+    return reduce(DataFrame.union, parts)
+
+
+def suite_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The uniqueness tests of two of three suites, chosen by patterns."""
+    tables = {name: table(spark, sf_dir, name) for name in ("orders", "part", "supplier")}
+    suites = {
+        "orders": [Q.UniqueTest("o_orderkey"), Q.UniqueTest("o_custkey"), Q.t_not_null("o_orderkey")],
+        "part": [Q.UniqueTest("p_partkey"), Q.t_not_null("p_name")],
+        "supplier": [Q.UniqueTest("s_nationkey"), Q.t_not_null("s_name")],
+    }
+    return Q.run_selected(tables, suites, table_like="[op]*", test_like="uni*")
+
+
+_UNIQUE_REPORT = """SELECT '{t}' AS table_name, 'unique' AS test_name, '{c}' AS column_name,
+ count(*) AS failures, CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END AS status
+ FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"""
+
 # --- SQL of the suites ----------------------------------------------------------------------
 
 
@@ -227,6 +255,14 @@ _PART = f"(SELECT l_orderkey, count(*) AS n_matches FROM lineitem WHERE l_partke
         "GROUP BY 1)"
 
 QUERIES = {
+    "dq_freshness_dimensions": Query(dq_freshness_dimensions, "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, max(_dlt_updated_at) AS max_loaded_at, '{status}'
+        AS status FROM ({DIM_QUERIES[name].sql})""" for name, status in (
+            ("reviews_scd1", "pass"), ("reviews_scd2", "pass"), ("players_scd1", "warn"),
+            ("players_scd2", "error")))),
+    "suite_selection": Query(suite_selection, "\nUNION ALL ".join(
+        _UNIQUE_REPORT.format(t=t, c=c) for t, c in (
+            ("orders", "o_orderkey"), ("orders", "o_custkey"), ("part", "p_partkey")))),
     "dq_not_null": Query(dq_not_null, ctes(FLAGGED_CTES[0], final="""SELECT app_id, review_id
         FROM bronze WHERE language IS NULL""")),
     "dq_unique": Query(dq_unique, ctes(FLAGGED_CTES[0], final="""SELECT review_id,

@@ -142,6 +142,11 @@ def page_stop_states(landing: DataFrame, total_missing_is_zero: bool = True) ->
     )
 
 
+def new_run_id() -> Column:
+    """A random id per row for the runs of a ledger; take it once, on write."""
+    return F.expr("uuid()")
+
+
 def failure_class(error_type: Column) -> Column:
     """Known failure kinds keep their name, any other is ``OTHER``."""
     return F.when(error_type.isin(*FAILURE_TYPES), error_type).otherwise(F.lit("OTHER"))
@@ -156,8 +161,14 @@ def failure_report(runs: DataFrame) -> DataFrame:
     )
 
 
-def backfill_state(runs: DataFrame, bronze: DataFrame, events: DataFrame) -> DataFrame:
-    """Per application: how far back the reviews reach, pages done, failures in a row, status."""
+def backfill_state(
+    runs: DataFrame, bronze: DataFrame, events: DataFrame, now: Column | str | None = None,
+) -> DataFrame:
+    """Per application: how far back the reviews reach, pages done, failures in a row, status.
+
+    ``updated_at`` is the time of the run, or ``now``.
+    """
+    at = F.localtimestamp() if now is None else (F.lit(now) if isinstance(now, str) else now)
     reached = bronze.groupBy(F.col("app_id").try_cast("bigint").alias("app_id")).agg(
         F.min(to_timestamp_ntz(F.col("timestamp_created"))).alias("oldest_seen_timestamp")
     )
@@ -192,6 +203,7 @@ def backfill_state(runs: DataFrame, bronze: DataFrame, events: DataFrame) -> Dat
             status.alias("status"), "last_run_at",
             F.coalesce("consecutive_failures", F.lit(0)).cast("bigint")
             .alias("consecutive_failures"),
+            at.cast("timestamp_ntz").alias("updated_at"),
         )
     )
 

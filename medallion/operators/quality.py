@@ -6,6 +6,7 @@ all of them; type checks need no job; tests of keys and of a second table are jo
 
 from __future__ import annotations
 
+import fnmatch
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -109,7 +110,7 @@ def freshness(
     error_after: str = "3 hours",
 ) -> DataFrame:
     """One row: newest load and ``pass``, ``warn`` or ``error``; a table never loaded is an error."""
-    at = F.lit(now).cast("timestamp_ntz")
+    at = (now if isinstance(now, Column) else F.lit(now)).cast("timestamp_ntz")
     newest = F.col("max_loaded_at")
     status = (
         F.when(newest.isNull() | (newest < at - F.expr(f"interval {error_after}")), "error")
@@ -240,6 +241,19 @@ def run_suite(
     )
 
 
+def run_selected(
+    tables: dict[str, DataFrame], suites: dict[str, Sequence[Test]], table_like: str = "*",
+    test_like: str = "*", others: dict[str, DataFrame] | None = None,
+) -> DataFrame | None:
+    """The report of those tests, over several suites, whose table and name match the patterns."""
+    parts = []
+    for name in sorted(fnmatch.filter(suites, table_like)):
+        chosen = [t for t in suites[name] if fnmatch.fnmatchcase(t.name, test_like)]
+        if chosen:
+            parts.append(run_suite(name, tables[name], chosen, {**tables, **(others or {})}))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def _labelled(counted: DataFrame, test_name: str, column: str) -> DataFrame:
     return counted.select(F.lit(test_name).alias("test_name"), F.lit(column).alias("column_name"),
                           "failures")

@@ -136,3 +136,38 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         scratch_folder(Session, "x")
     Session.conf.values["spark.checkpoint.dir"] = "/shared"
     assert scratch_folder(Session, "x").startswith("/shared/medallion/x-")
+
+
+def test_a_bucketed_table_needs_no_shuffle(spark):
+    from medallion.catalog.bronze import bucketed_layout
+
+    plan = bucketed_layout(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+    assert "Exchange hash" not in plan.toString()
+
+
+def test_run_ids_differ():
+    from pyspark.sql import SparkSession
+
+    from medallion.operators.ledger import new_run_id
+
+    spark = SparkSession.getActiveSession()
+    ids = [r[0] for r in spark.range(5).select(new_run_id()).collect()]
+    assert len(set(ids)) == 5 and all(len(i) == 36 for i in ids)
+
+
+def test_a_stream_goes_on_by_the_clock(spark):
+    """With a lag instead of ``None`` the stream keeps running until it is stopped."""
+    from medallion.streaming.incremental import start_page_quarantine
+
+    root = scratch_folder(spark, "test")
+    landing(spark, "{broken", page([review()])).write.parquet(f"{root}/landing")
+    stream = start_page_quarantine(spark, f"{root}/landing", f"{root}/bad", f"{root}/state",
+                                   trigger="1 second")
+    try:
+        stream.processAllAvailable()
+        landing(spark, "").write.mode("append").parquet(f"{root}/landing")
+        stream.processAllAvailable()
+        assert stream.isActive
+    finally:
+        stream.stop()
+    assert spark.read.parquet(f"{root}/bad").count() == 2
