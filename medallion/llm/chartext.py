@@ -9,7 +9,7 @@ import numpy as np
 
 #: Characters handled at once. A longer text is read whole, in stretches of this length; n-grams
 #: do not reach across their borders.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 #: Letters beyond the first 65,536 code points share the numbers of those, modulo 65,536.
 BITS, MOST = 16, 4
 SPACE = 32

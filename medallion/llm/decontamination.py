@@ -32,8 +32,9 @@ MIN_WORDS = 5
 WALKS = 2
 SAMPLES = 32
 PLACES = 3
-#: Windows embedded at once.
-WINDOWS = 20_000
+#: Documents searched, and windows embedded, at once.
+ROWS = 1_000
+WINDOWS = 10_000
 #: Text of the benchmark in one block.
 BLOCK_BYTES = 8 << 20
 SEED = 20240
@@ -298,7 +299,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, similarity: float =
 
         def search(batches, shared=shared):
             index = shared.value
-            for batch in batches:
+            for batch in (whole.slice(at, ROWS) for whole in batches
+                          for at in range(0, whole.num_rows, ROWS)):
                 rows, ids = [], batch.column("doc_id").to_pylist()
                 texts = [text.lower() for text in batch.column("text").to_pylist()]
                 found = index.matches(texts)

@@ -29,7 +29,7 @@ TILE = 512
 CHUNK = 16_384
 #: Fingerprints to a tile set on average before more, narrower sets are used.
 SET_SIZE = 2_048
-_SLICE = 65_536
+_SLICE = 16_384
 
 
 def fingerprint(text: str, width: int = WIDTH) -> int:

@@ -20,7 +20,7 @@ from medallion.llm.common import slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 MEMO_CHARS = 64
 #: str.split() also splits at these, the tokenizer does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
