@@ -171,3 +171,31 @@ def test_a_stream_goes_on_by_the_clock(spark):
     finally:
         stream.stop()
     assert spark.read.parquet(f"{root}/bad").count() == 2
+
+
+@pytest.mark.parametrize("name", ["reviews_scd1", "reviews_scd2", "players_scd2"])
+def test_what_a_batch_writes_follows_the_batch(spark, name):
+    """Layers and compaction give the rows of a table that is compacted after every batch."""
+    from dataclasses import replace
+
+    dim = DIMENSIONS[name]
+    layered = replace(dim.table(scratch_folder(spark, "test"), buckets=4), compact_every=3)
+    whole = replace(layered, path=scratch_folder(spark, "test"), compact_every=1)
+    batches = [[review(recommendationid=str(i), author={"steamid": str(i)}) for i in range(40)]]
+    for n in range(1, 5):
+        batches.append([review(recommendationid=str(i), votes_up=n,
+                               author={"steamid": str(i), "num_reviews": n})
+                        for i in (n, n + 7, 40 + n)])
+    for number, reviews in enumerate(batches):
+        now = f"2026-03-0{number + 1} 00:00:00"
+        rows = flag_reviews(flatten_reviews(landing(spark, page(reviews), at=now)))
+        for table in (layered, whole):
+            assert dim.run(spark, table, number, rows, now)
+        seen = [sorted(map(str, t.read(spark).collect())) for t in (layered, whole)]
+        assert seen[0] == seen[1]
+    def rows(layer):
+        found = spark.read.parquet(f"{layered.path}/{layer}").groupBy("batch_id").count().collect()
+        return {r["batch_id"]: r["count"] for r in found}
+    assert rows("data")[0] == 40 and all(rows("data")[n] <= 6 for n in (1, 2, 4, 5))
+    assert rows("base") == {3: 42}  # after three batches: the current rows, no more
+    assert len(layered._layers(spark)[1]) == 2
