@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from medallion.llm.chartext import Lookup
 from medallion.llm.common import crc_bucket, id_and_text, prepare_workers, written
 
-ORDER = 5
+ORDER = 4
 NODES = 1_000_000
 WORDS = 1_000_000
 HELD_OUT, HELD_OUT_IS = 7, 2
