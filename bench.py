@@ -24,7 +24,7 @@ HEADLINE = [
     "upsert_if_distinct", "upsert_newer_wins", "scd1_merge", "scd2_merge", "scd2_three_batches",
     "change_feed", "reviews_scd1", "reviews_scd2", "players_scd2", "fk_orphans", "cascade_delete", "run_ledger", "start_cursor",
     "backfill_state", "dq_unique", "dq_cross_table", "dq_reactions", "suite_reviews_scd1",
-    "stream_bronze", "clean_latest",
+    "stream_bronze", "clean_latest", "written_reviews_scd1",
 ]
 
 
