@@ -5,23 +5,24 @@ longest context that knows it; leaving a context costs its escape probability, a
 the context that was left are excluded from the shorter one. Beside it stands a plain unigram
 base over words.
 
-The trie keeps what makes up at least one part in ``NODES`` of the corpus, so it has at most that
-many nodes per order however large the corpus is, and may be broadcast. What is cut off widens
-the escape of its context. Words are likewise looked up in a table of those that make up one part in
-``WORDS`` of all tokens; all other words meet their counts in a join.
+Nothing is cut off: every byte string of the training documents counts, and the counts stay in
+tables that grow with the corpus. A window has one log-probability wherever it stands. Those that
+make up one part in ``NODES`` of all are broadcast with it, which spares most lookups a shuffle; all
+other windows of a document meet theirs in a join. Windows that training never saw are resolved
+once each, by a join per order. Words are likewise looked up in a table of those that make up one
+part in ``WORDS`` of all tokens; all other words meet their counts in a join.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
-from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.llm.chartext import Lookup
@@ -93,7 +94,8 @@ def _suffix(keys: np.ndarray, n: int) -> np.ndarray:
 
 @dataclass
 class Trie:
-    """Probabilities of all orders, as base-10 logarithms in flat tables."""
+    """Probabilities of all orders, as base-10 logarithms in flat tables: the plain version of
+    ``known_logs`` and ``unknown_logs``, in the memory of one process."""
 
     order: int
     symbol: Lookup    # (order, context, symbol): log count
@@ -220,22 +222,87 @@ def _gather(order: int):
     return run
 
 
-def train_trie(grams: DataFrame, order: int = ORDER, nodes: int = NODES) -> Trie:
-    """The trie from ``gram, n``, counts of whole windows. At most ``nodes`` rows an order reach the
-    driver, since each makes up at least one part in ``nodes`` of the total."""
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    kept = [grams.groupBy(F.col("gram").bitwiseAND(F.lit((1 << (8 * n)) - 1)).alias("gram"))
-            .agg(F.sum("n").alias("n")).where(F.col("n") * nodes >= total)
-            .select(F.lit(n).alias("length"), "gram", "n") for n in range(1, order + 2)]
-    table = reduce(DataFrame.union, kept).toArrow()
-    length = table["length"].to_numpy()
-    keys, counts = table["gram"].to_numpy().view(np.uint64), table["n"].to_numpy()
-    tables = {}
-    for n in range(1, order + 2):
-        own = length == n
-        sort = np.argsort(keys[own])
-        tables[n] = keys[own][sort], counts[own][sort]
-    return Trie.build(tables, order)
+def _mask(n: int) -> Column:
+    return F.lit((1 << (8 * n)) - 1)
+
+
+def known_logs(grams: DataFrame) -> DataFrame:
+    """``gram, n, logs`` of the windows of training: each is coded in its whole context. A context
+    has at most SYMBOLS windows."""
+    context = Window.partitionBy(F.shiftrightunsigned("gram", 8))
+    return grams.select("gram", "n", (F.log10("n") - F.log10(
+        F.sum("n").over(context) + F.count("*").over(context))).alias("logs"))
+
+
+def _contexts(grams: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
+    """``context, symbols``: the counts of what follows the wanted contexts of ``k`` bytes."""
+    context = F.shiftrightunsigned("gram", 8).bitwiseAND(_mask(k)).alias("context")
+    symbol = F.col("gram").bitwiseAND(_mask(1)).alias("symbol")
+    # Of short contexts there are few, and many windows each.
+    wanted = F.broadcast(wanted) if k <= 2 else wanted
+    return grams.select(context, symbol, "n").join(wanted, "context", "left_semi").groupBy(
+        "context", "symbol").agg(F.sum("n").alias("n")).groupBy("context").agg(
+        F.map_from_entries(F.collect_list(F.struct("symbol", "n"))).alias("symbols"))
+
+
+def unknown_logs(unknown: DataFrame, grams: DataFrame, order: int) -> DataFrame:
+    """``gram, logs`` of the distinct windows ``gram`` that training never saw.
+
+    From the longest context down: one that training does not know costs nothing, one that does not
+    know the symbol its escape. The next shorter one then leaves out the symbols of that one, all of
+    which it knows.
+    """
+    symbol = F.col("gram").bitwiseAND(_mask(1))
+    known = grams.select(symbol).distinct().count()
+    rows = unknown.select("gram", F.lit(0.0).alias("logs"), F.lit(False).alias("coded"),
+                          F.lit(None).cast("map<bigint, bigint>").alias("left"))
+    for k in range(order, -1, -1):
+        context = F.shiftrightunsigned("gram", 8).bitwiseAND(_mask(k)).alias("context")
+        found = _contexts(grams, k, unknown.select(context).distinct())
+        rows = rows.withColumn("context", context).join(
+            F.broadcast(found) if k < 2 else found, "context", "left")  # 257 contexts at most
+        count = F.try_element_at("symbols", symbol)
+        of_left = F.aggregate(F.map_keys("left"), F.lit(0).cast("long"),
+                              lambda total, x: total + F.try_element_at("symbols", x))
+        whole = F.aggregate(F.map_values("symbols"), F.lit(0).cast("long"), lambda total, x: total + x)
+        rows = rows.select(
+            "gram", "logs", "coded", "left", "symbols", count.alias("count"),
+            (whole - F.coalesce(of_left, F.lit(0))).alias("rest"),
+            (F.size("symbols") - F.when(F.col("left").isNull(), 0).otherwise(F.size("left"))).alias(
+                "others"))
+        # Without other symbols leaving is sure.
+        escape = F.when(F.col("rest") > 0, F.col("others")).otherwise(1)
+        cost = F.log10(F.coalesce("count", escape)) - F.log10(F.col("rest") + escape)
+        rows = rows.select(
+            "gram",
+            (F.col("logs") + F.when(F.col("coded") | F.col("symbols").isNull(), 0.0).otherwise(
+                cost)).alias("logs"),
+            (F.col("coded") | F.col("count").isNotNull()).alias("coded"),
+            F.coalesce("symbols", "left").alias("left"))
+    unseen = -float(np.log10(max(SYMBOLS - known, 1)))
+    return rows.select("gram", (F.col("logs") + F.when(F.col("coded"), 0.0).otherwise(
+        F.lit(unseen))).alias("logs"))
+
+
+def _score_windows(table: Lookup, texts: list[bytes], order: int):
+    """``logs, ends, keys, counts``: sums over the windows in the table, a number per text, and the
+    distinct other windows of each text, those of text i up to ``ends[i + 1]``."""
+    total = np.zeros(len(texts))
+    owners, others = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for owner, keys in windows(texts, order):
+        logs, found = table.get(keys)
+        total += np.bincount(owner, weights=logs, minlength=len(texts))
+        owners.append(owner[~found])
+        others.append(keys[~found])
+    owner, keys = np.concatenate(owners), np.concatenate(others)
+    sort = np.lexsort((keys, owner))
+    owner, keys = owner[sort], keys[sort]
+    new = np.ones(len(keys), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (keys[1:] != keys[:-1])
+    first = np.flatnonzero(new)
+    counts = np.diff(np.append(first, len(keys)))
+    ends = np.searchsorted(owner[first], np.arange(len(texts) + 1))
+    return total, ends, keys[first], counts
 
 
 def score_documents(documents: DataFrame, order: int = ORDER, nodes: int = NODES,
@@ -248,7 +315,8 @@ def score_documents(documents: DataFrame, order: int = ORDER, nodes: int = NODES
     log-probability of that; the code length in bits is its negative over log10(2). ``base_score``
     is the unigram sum. A null or blank text is its end alone; a null ``doc_id`` counts as the
     empty text; repeated rows come out, and count, each. Without training rows every byte is
-    equally likely and the base is 0.
+    equally likely and the base is 0. ``nodes`` and ``frequent`` say how much is broadcast, and
+    change no score.
     """
     spark = documents.sparkSession
     prepare_workers(spark)
@@ -263,16 +331,20 @@ def score_documents(documents: DataFrame, order: int = ORDER, nodes: int = NODES
     tokens, distinct = (sums.n or 0) + ends, sums.v + (1 if ends else 0)
     grams = written(partial.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")),
                     "lm-grams")
+    grams_seen = grams.agg(F.sum("n")).first()[0] or 0
+    known_windows = written(known_logs(grams), "lm-logs")
+    # At most ``nodes`` windows make up that much each.
+    top = known_windows.where(F.col("n") * nodes >= grams_seen).select("gram", "logs").toArrow()
     often = F.col("c") * frequent >= tokens
     table = words.where(often).toArrow()  # at most ``frequent`` words make up that much each
     logs = np.log10(table["c"].to_numpy().astype(float) + 1)
     shared = spark.sparkContext.broadcast(
-        (train_trie(grams, order, nodes), dict(zip(table["word"].to_pylist(), logs.tolist(),
-                                                   strict=True))))
+        (Lookup(top["gram"].to_numpy().view(np.uint64), top["logs"].to_numpy()),
+         dict(zip(table["word"].to_pylist(), logs.tolist(), strict=True))))
     end_log = float(np.log10(ends + 1))
 
     def score(batches):
-        trie, known = shared.value
+        common, known = shared.value
         number = TaskContext.get().partitionId() << 33
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
@@ -293,30 +365,43 @@ def score_documents(documents: DataFrame, order: int = ORDER, nodes: int = NODES
                     logs.append(float(found[~rare].sum()) + end_log)
                 others = pa.StructArray.from_arrays(
                     [pa.array(words, pa.binary()), pa.array(counts, pa.int32())], ["word", "n"])
+                window_logs, ends_of, keys, times = _score_windows(common, texts, order)
+                strange = pa.StructArray.from_arrays(
+                    [pa.array(keys.view(np.int64)), pa.array(times, pa.int32())], ["gram", "n"])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("held_out"),
                      pa.array(np.arange(number, number + len(texts))),
                      pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
                      pa.array(logs, pa.float64()),
                      pa.ListArray.from_arrays(pa.array(ends_at, pa.int32()), others),
-                     pa.array(trie.score(texts))],
+                     pa.ListArray.from_arrays(pa.array(ends_of, pa.int32()), strange),
+                     pa.array(window_logs)],
                     names=["doc_id", "held_out", "row", "n_tokens", "known", "logs", "rare",
-                           "score"])
+                           "windows", "score"])
                 number += len(texts)
 
     scored = written(rows.mapInArrow(
         score, "doc_id long, held_out boolean, row long, n_tokens long, known long, logs double, "
-               "rare array<struct<word: binary, n: int>>, score double"), "lm-scored")
+               "rare array<struct<word: binary, n: int>>, "
+               "windows array<struct<gram: long, n: int>>, score double"), "lm-scored")
     # A word that is not in the table is rare, so no key of this join is hot.
     rare = scored.select("row", F.inline("rare")).join(words.where(~often), "word", "left").select(
         "row", F.when(F.col("c").isNotNull(), F.col("n")).alias("n"),
         (F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("logs"))
-    per_row = rare.groupBy("row").agg(F.sum("n").alias("rare_known"), F.sum("logs").alias("rare_logs"))
-    joined = scored.drop("rare").join(per_row, "row", "left")
+    asked = scored.select("row", F.inline("windows"))
+    unknown = written(asked.select("gram").distinct().join(grams, "gram", "left_anti"), "lm-unknown")
+    all_logs = known_windows.select("gram", "logs").union(unknown_logs(unknown, grams, order))
+    strange = asked.join(all_logs, "gram").select("row", (F.col("n") * F.col("logs")).alias("logs"))
+    nothing = F.lit(None)
+    per_row = rare.withColumn("window_logs", nothing.cast("double")).union(strange.select(
+        "row", nothing.cast("int"), nothing.cast("double"), "logs")).groupBy("row").agg(
+        F.sum("n").alias("rare_known"), F.sum("logs").alias("rare_logs"), F.sum("window_logs").alias(
+            "window_logs"))
+    joined = scored.drop("rare", "windows").join(per_row, "row", "left")
     return joined.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
          - F.col("n_tokens") * F.log10(F.lit(float(tokens + distinct + 1)))).alias("base_score"),
-        "score")
+        (F.col("score") + F.coalesce("window_logs", F.lit(0.0))).alias("score"))

@@ -397,3 +397,28 @@ def test_windows_of_long_texts_overlap(monkeypatch):
     monkeypatch.setattr(lm_scoring, "CHUNK", 17)
     cut = Counter(k for _, keys in lm_scoring.windows([text], 4) for k in keys.tolist())
     assert cut == want and sum(cut.values()) == len(text) + 1
+
+
+def test_scores_keep_every_string(spark):
+    rnd = np.random.default_rng(5)
+    words = ["the", "cat", "dog", "sat", "zebra", "quilt", "über", "mat", "hat"]
+    rows = list(edge.ROWS) + [
+        (100 + i, " ".join(rnd.choice(words, 12)) + f" {'qxjzvk'[i % 6]}{i * 7919}", "en", "s")
+        for i in range(60)]
+    texts = [b" ".join(lm_scoring.words_of(t or "")) for _, t, *_ in rows]
+    held = [zlib.crc32(b"" if d is None else str(d).encode()) % 7 == 2 for d, *_ in rows]
+    assert any(held)
+    order, total = lm_scoring.ORDER, Counter()
+    for _, keys in lm_scoring.windows([t for t, out in zip(texts, held) if not out], order):
+        total.update(keys.tolist())
+    grams = {}
+    for n in range(1, order + 2):
+        summed = Counter()
+        for key, count in total.items():
+            summed[key & ((1 << 8 * n) - 1)] += count
+        grams[n] = (np.array(sorted(summed), np.uint64), np.array([summed[k] for k in sorted(summed)]))
+    plain = lm_scoring.Trie.build(grams, order).score(texts)
+    want = Counter((d, round(s, 4)) for (d, *_), s in zip(rows, plain))
+    for nodes in (1, 300, lm_scoring.NODES):  # how much is broadcast changes nothing
+        found = lm_scoring.score_documents(edge.documents(spark, rows), nodes=nodes).collect()
+        assert Counter((r.doc_id, round(r.score, 4)) for r in found) == want
