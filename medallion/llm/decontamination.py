@@ -4,8 +4,11 @@ Items and item-sized windows of the documents are strings of words. A random wal
 (CGK embedding) writes the word it stands on and moves on or not, as a random function of step and
 word says; strings at a small edit distance soon walk alike again, so their embeddings differ in
 few places. Bit sampling hashes a few places of the embedding, again and again with other places
-and other walks, until a near pair meets at least once with the wanted probability. Pairs that
-meet are verified by the exact edit distance to the best stretch of the text.
+and other walks. Walks drift apart with every edit, so a fixed number of samples is enough only
+up to some length: items of more than STRETCH words are cut into parts of about equal length up to
+that. If every part had more edits than its length allows, the item would have too (pigeonhole), so
+one part is found where the item is. Pairs that meet are verified by the exact edit distance of the
+whole item to the best stretch of the text.
 
 A window that shares too few word pairs with all items cannot be within the distance (q-gram
 lemma), so only the others are embedded; this loses nothing. The benchmark is the stated query set:
@@ -32,6 +35,8 @@ MIN_WORDS = 5
 WALKS = 2
 SAMPLES = 32
 PLACES = 3
+#: Words of an item in one part. At 20 % edits about 1 in 100 strings of up to this length do not meet.
+STRETCH = 40
 #: Documents searched, and windows embedded, at once.
 ROWS = 1_000
 WINDOWS = 10_000
@@ -98,6 +103,7 @@ class Index:
 
     ids: list[int]
     items: list[np.ndarray]
+    parts: list[tuple[int, int, np.ndarray]]  # item, place of its first word, words
     vocabulary: dict[str, int]
     similarity: float
     walks: int
@@ -124,8 +130,14 @@ class Index:
                 ids.append(number)
                 coded.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1)
                                        for w in words], np.int64))
-        self = cls(ids, coded, vocabulary, similarity, walks, samples, places)
-        longest = max((len(c) for c in coded), default=0)
+        parts = []
+        for number, code in enumerate(coded):
+            offset = 0
+            for part in np.array_split(code, -(-len(code) // STRETCH)):
+                parts.append((number, offset, part))
+                offset += len(part)
+        self = cls(ids, coded, parts, vocabulary, similarity, walks, samples, places)
+        longest = max((len(c) for _, _, c in parts), default=0)
         symbols = np.arange(len(vocabulary) + 1)
         self.bits = [[_mix(symbols, SEED + 1000 * w + block) for block in range(
             -(-2 * longest // 64))] for w in range(walks)]
@@ -136,11 +148,11 @@ class Index:
         keys = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.uint64)
         self.pairs = Lookup(keys, np.ones(len(keys)))
         random = np.random.default_rng(SEED)
-        for length in sorted({len(c) for c in coded}):
+        for length in sorted({len(c) for _, _, c in parts}):
             steps = 2 * length
             self.sampled[length] = random.integers(0, steps, (walks, samples, places))
-            own = [i for i, c in enumerate(coded) if len(c) == length]
-            text = np.concatenate([np.append(coded[i], 0) for i in own])
+            own = [i for i, (_, _, c) in enumerate(parts) if len(c) == length]
+            text = np.concatenate([np.append(parts[i][2], 0) for i in own])
             starts = np.arange(len(own)) * (length + 1)
             keys = self.keys(text, starts, starts + length, length)
             rows = np.tile(np.array(own), (keys.shape[0], 1))
@@ -148,11 +160,11 @@ class Index:
             sort = np.argsort(flat, kind="stable")
             self.tables[length] = flat[sort], item[sort]
             self.lengths.append(length)
-            self.needs[length] = max(1, min(self._needed(coded[i]) for i in own))
+            self.needs[length] = max(1, min(self._needed(parts[i][2]) for i in own))
         return self
 
     def _needed(self, item: np.ndarray) -> int:
-        """Word pairs that a stretch within the distance shares with the item, at least.
+        """Word pairs that a stretch within the distance shares with the item or part, at least.
 
         An edit takes two pairs. A pair that repeats the one before it is not counted: a stretch may
         begin within such a run, and in an item that has runs an edit may take one pair more.
@@ -196,7 +208,7 @@ class Index:
         return out
 
     def candidates(self, text: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Rows ``item, start`` that met in a hash table.
+        """Rows ``part, start`` that met in a hash table.
 
         ``text`` holds documents in a row, a blank symbol after each; ``ends`` gives for every place
         the end of its document.
@@ -216,7 +228,7 @@ class Index:
         for length in self.lengths:
             until = np.minimum(at + (length + allowed(length, self.similarity) - 1), ends[at])
             starts = at[sums[until] - sums[at] >= needs[length]]
-            known, items = self.tables[length]
+            known, parts = self.tables[length]
             for part in range(0, len(starts), WINDOWS):
                 own = starts[part:part + WINDOWS]
                 keys = self.keys(text, own, np.minimum(own + length, ends[own]), length)
@@ -227,7 +239,7 @@ class Index:
                         count = np.searchsorted(known, row[met], "right") - low[met]
                         before = np.repeat(np.cumsum(count) - count, count)
                         entry = np.repeat(low[met], count) + np.arange(count.sum()) - before
-                        found.append(np.stack([items[entry], np.repeat(own[met], count)], axis=1))
+                        found.append(np.stack([parts[entry], np.repeat(own[met], count)], axis=1))
         return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int, int]]:
@@ -242,19 +254,24 @@ class Index:
         pairs = self.candidates(text, np.repeat(last, lengths))
         owner = np.searchsorted(last, pairs[:, 1])
         near: dict[tuple[int, int], list[int]] = {}
-        for number, (item, start) in zip(owner.tolist(), pairs.tolist(), strict=True):
-            near.setdefault((number, item), []).append(start - int(last[number] - lengths[number] + 1))
+        for number, (part, start) in zip(owner.tolist(), pairs.tolist(), strict=True):
+            item, offset, _ = self.parts[part]  # where the item begins if no edit is before the part
+            near.setdefault((number, item), []).append(
+                start - offset - int(last[number] - lengths[number] + 1))
         out = []
         for (number, item), starts in sorted(near.items()):
             wanted, words = self.items[item], codes[number]
             edits = allowed(len(wanted), self.similarity)
+            # A part may also meet a few words beside its own best stretch.
+            slack = edits + (allowed(STRETCH, self.similarity) if len(wanted) > STRETCH else 0)
+            starts.sort()
             best, at = None, 0
             while at < len(starts):  # overlapping neighbourhoods are verified together
-                begin = max(0, starts[at] - edits)
-                end = starts[at] + len(wanted) + 2 * edits
-                while at + 1 < len(starts) and starts[at + 1] - edits <= end:
+                begin = max(0, starts[at] - slack)
+                end = max(0, starts[at] + len(wanted) + edits + slack)
+                while at + 1 < len(starts) and starts[at + 1] - slack <= end:
                     at += 1
-                    end = starts[at] + len(wanted) + 2 * edits
+                    end = max(0, starts[at] + len(wanted) + edits + slack)
                 at += 1
                 stretch = words[begin:end]
                 if np.isin(self.distinct[item], stretch).sum() < len(self.distinct[item]) - edits:

@@ -84,6 +84,23 @@ def test_leaks_are_found_up_to_the_distance(spark):
     assert decontamination.contaminated(edge.documents(spark), benchmark.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("length", [100, 150, 300, 400])
+def test_long_items_are_found_at_the_border(length):
+    rnd = random.Random(length)
+    vocabulary = [f"w{i}" for i in range(3_000)]
+    items = [[rnd.choice(vocabulary) for _ in range(length)] for _ in range(40)]
+    index = decontamination.Index.build([(n, " ".join(w)) for n, w in enumerate(items)])
+    texts, want = [], {}
+    for n, item in enumerate(items):
+        around = [[rnd.choice(vocabulary) for _ in range(rnd.randrange(60))] for _ in "ab"]
+        middle = edited(item, decontamination.allowed(length), vocabulary, rnd)
+        texts.append(" ".join(around[0] + middle + around[1]))
+        want[n] = plain_distance(item, texts[-1].split())
+    found = {r[0]: r for r in index.matches(texts)}
+    assert len(set(want) - set(found)) <= 0.03 * len(want)
+    assert all(r[1] == n and r[3] == want[n] for n, r in found.items())
+
+
 def test_best_stretch():
     import numpy as np
 
