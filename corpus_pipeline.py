@@ -49,9 +49,9 @@ def drop_near_copies(spark: SparkSession, documents: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item."""
-    found = decontamination.contaminated(documents, read_table(spark, sf_dir, "benchmark"))
-    return documents.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    """Drop documents that hold a benchmark item, those without an id too; of rows that share an id
+    only those whose own text holds one. Items without an id count like others."""
+    return decontamination.clean(documents, read_table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:

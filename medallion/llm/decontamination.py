@@ -101,7 +101,7 @@ def _repeated(codes: np.ndarray) -> np.ndarray:
 class Index:
     """One block of the benchmark: vocabulary, word pairs, and hash tables per item length."""
 
-    ids: list[int]
+    ids: list[int | None]
     items: list[np.ndarray]
     parts: list[tuple[int, int, np.ndarray]]  # item, place of its first word, words
     vocabulary: dict[str, int]
@@ -120,7 +120,7 @@ class Index:
     needs: dict[int, int] = field(default_factory=dict)
 
     @classmethod
-    def build(cls, items: list[tuple[int, str]], similarity: float = SIMILARITY,
+    def build(cls, items: list[tuple[int | None, str]], similarity: float = SIMILARITY,
               walks: int = WALKS, samples: int = SAMPLES, places: int = PLACES) -> Index:
         vocabulary: dict[str, int] = {}
         ids, coded = [], []
@@ -287,13 +287,26 @@ class Index:
 def _blocks(benchmark: DataFrame, block_bytes: int) -> list[DataFrame]:
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
-    ).where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+    ).where(F.col("text").isNotNull())
     total = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     count = max(1, -(-total // block_bytes))
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
     return [items.where(number == i) for i in range(count)]
 
 
+def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that hold no benchmark item, with all their columns. A row is named by its id
+    and its text's hash: one without an id goes only if its own text holds an item, and so do rows
+    that share an id."""
+    last = F.lit((1 << 63) - 1)
+    leaks = _search(documents, benchmark).select(
+        F.coalesce("doc_id", last).alias("_sid"), F.col("th").alias("_th")).distinct()
+    marked = documents.withColumns({
+        "_sid": F.coalesce(F.col("doc_id").cast("long"), last),
+        "_th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    return marked.join(leaks, ["_sid", "_th"], "left_anti").select(*documents.columns)
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
                  walks: int = WALKS, samples: int = SAMPLES, places: int = PLACES,
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -304,14 +317,22 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, similarity: float =
     of the whole text is within ``(1 - similarity)`` of the item's words in word edits. The best
     stretch is given, the first of equal ones. Null or empty texts and items, and items of fewer
     than MIN_WORDS words, give no rows. Rows that repeat a document or an item, id and text, give
-    equal rows; items that share a text are each found. A null ``item_id`` is not searched for; a
-    null ``doc_id`` stays null. Other columns are not read.
+    equal rows; items that share a text are each found. A null ``item_id`` is searched for like any
+    other and, like a null ``doc_id``, stays null. Other columns are not read.
     """
+    return _search(documents, benchmark, similarity, walks, samples, places, block_bytes).drop("th")
+
+
+def _search(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
+            walks: int = WALKS, samples: int = SAMPLES, places: int = PLACES,
+            block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``contaminated`` with ``th``, the hash of the document's text."""
     spark = documents.sparkSession
     prepare_workers(spark)
     result = None
     for block in _blocks(benchmark, block_bytes):
-        items = sorted((r.item_id, r.text) for r in block.collect())
+        items = sorted(((r.item_id, r.text) for r in block.collect()),
+                       key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         shared = spark.sparkContext.broadcast(Index.build(items, similarity, walks, samples, places))
 
         def search(batches, shared=shared):
@@ -319,26 +340,27 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, similarity: float =
             for batch in (whole.slice(at, ROWS) for whole in batches
                           for at in range(0, whole.num_rows, ROWS)):
                 rows, ids = [], batch.column("doc_id").to_pylist()
+                hashes = batch.column("th").to_pylist()
                 texts = [text.lower() for text in batch.column("text").to_pylist()]
                 found = index.matches(texts)
                 for number, item, length, distance, a, b in found:
                     spans = [m.span() for n, m in zip(range(b), _WORD.finditer(texts[number]))
                              if n >= a]
                     rows.append((ids[number], item, length, distance, 1 - distance / length, a, b,
-                                 spans[0][0], spans[-1][1]))
+                                 spans[0][0], spans[-1][1], hashes[number]))
                 if rows:
                     columns = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(columns, _TYPES.values(), strict=True)],
                         names=list(_TYPES))
 
-        found = id_and_text(documents).mapInArrow(
+        found = id_and_text(documents).withColumn("th", F.xxhash64("text")).mapInArrow(
             search, "doc_id long, item_id long, item_words int, distance int, similarity double, "
-                    "start_word int, end_word int, start_char int, end_char int")
+                    "start_word int, end_word int, start_char int, end_char int, th long")
         result = found if result is None else result.union(found)
     return result
 
 
 _TYPES = {"doc_id": pa.int64(), "item_id": pa.int64(), "item_words": pa.int32(),
           "distance": pa.int32(), "similarity": pa.float64(), "start_word": pa.int32(),
-          "end_word": pa.int32(), "start_char": pa.int32(), "end_char": pa.int32()}
+          "end_word": pa.int32(), "start_char": pa.int32(), "end_char": pa.int32(), "th": pa.int64()}

@@ -215,6 +215,21 @@ def test_pipeline_decides_at_every_stage(spark, tmp_path):
     assert corpus_pipeline.run(spark, empty).count() == 0
 
 
+def test_leaks_go_row_by_row(spark, tmp_path):
+    import corpus_pipeline
+
+    first, second = (" ".join(f"{c}{i} the" for i in range(12)) for c in "ab")
+    rows = [(None, f"before {first} after", "en", "s"), (None, "clean without an id", "en", "s"),
+            (1, f"leak {first}", "en", "s"), (1, "clean of the same id", "en", "s"),
+            (2, f"leak {second}", "en", "s"), (3, None, "en", "s"), (4, "clean", "en", "s")]
+    folder = write(spark, tmp_path / "tables", rows, [(1, first), (None, second)])
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = corpus_pipeline.drop_contaminated(spark, documents, folder)
+    assert kept.columns == documents.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [
+        (0, "clean without an id"), (1, "clean of the same id"), (3, ""), (4, "clean")]
+
+
 @data
 @pytest.mark.parametrize("name", sorted(n for n, q in QUERIES.items() if q.sql))
 def test_query_equals_sql(spark, name):
