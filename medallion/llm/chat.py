@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from medallion.llm.common import ascii_lower, written
 
-#: Turns of a conversation in one part of its chat.
+#: Distinct messages of a conversation in one part of its chat.
 PART = 256
+#: Characters of a text that say where rows are dealt to; only equal ones are compared further.
+PREFIX = 256
 _MARKS = r"^((?:[ \t]*>)+)"
 _MARKS_AND_BLANK = r"^(?:[ \t]*>)+[ \t]?"
 _KEY = ["conv_id", "turn", "role", "text"]
@@ -118,7 +120,7 @@ def threads(replies: DataFrame) -> DataFrame:
 
 def linked_messages(conversations: DataFrame) -> DataFrame:
     """One row per distinct message: ``conv_id, turn, role, said, copies, n_quotes, n_linked,
-    reply_to, thread``; ``said`` is the text without quotes, ``thread`` the turn its chain of
+    reply_to, thread, text_hash``; ``said`` is the text without quotes, ``thread`` the turn its chain of
     replies starts from (its own without a link)."""
     said = messages(conversations)
     replies = written(links(said), "chat")
@@ -133,7 +135,38 @@ def linked_messages(conversations: DataFrame) -> DataFrame:
         "conv_id", "turn", "role", without_quotes(F.col("text")).alias("said"), "copies",
         F.coalesce("n_quotes", F.lit(0).cast("long")).alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"), "reply_to",
-        F.coalesce("thread", "turn").alias("thread"))
+        F.coalesce("thread", "turn").alias("thread"), F.xxhash64("text").alias("text_hash"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``linked_messages`` with ``number``, the place in the conversation from 0 in reply order.
+
+    Rows are dealt out by ranges of the whole order, so that no key lands in one task; places are
+    counted within a range, and a conversation that began in an earlier range goes on from there.
+    """
+    never = F.lit(1 << 62)
+    head = F.left("said", F.lit(PREFIX))
+    long = F.char_length("said") > PREFIX
+    ordered = rows.withColumns({
+        "by_thread": F.coalesce("thread", never), "by_turn": F.coalesce("turn", never), "head": head,
+        # The hash parts messages that say the same, and comes behind the text of those that do not.
+        "long": long, "short_hash": F.when(long, 0).otherwise(F.col("text_hash"))})
+    keys = ["conv_id", "by_thread", "by_turn", "role", "head", "long", "short_hash"]
+    dealt = written(ordered.repartitionByRange(*keys).sortWithinPartitions(
+        *keys, "said", "text_hash").select(
+        *rows.columns, F.monotonically_increasing_id().alias("id")), "chat").withColumn(
+        "range", F.shiftright("id", 33))
+    runs = dealt.groupBy("conv_id", "range").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("conv_id").orderBy("range").rowsBetween(
+        Window.unboundedPreceding, -1))
+    # In each range only the first conversation can have begun before.
+    begun = runs.withColumn("before", before).where("before > 0").select(
+        F.col("conv_id").alias("of"), F.col("range").alias("at"), "before")
+    placed = dealt.withColumn("place", F.row_number().over(
+        Window.partitionBy("conv_id", "range").orderBy("id")))
+    return placed.join(F.broadcast(begun), (F.col("range") == F.col("at")) & F.col(
+        "conv_id").eqNullSafe(F.col("of")), "left").select(
+        *rows.columns, (F.col("place") - 1 + F.coalesce("before", F.lit(0))).alias("number"))
 
 
 def format_chats(conversations: DataFrame, part: int = PART) -> DataFrame:
@@ -141,24 +174,20 @@ def format_chats(conversations: DataFrame, part: int = PART) -> DataFrame:
 
     ``chat`` holds the messages as ``<|role|>`` lines, each followed by the text without quotes, in
     reply order: by the thread's first turn, then by turn (ties: role, then text). A conversation
-    of up to ``part`` turns is one row; longer ones are rows of ``part`` turns at most, ordered by
-    ``part`` and ``section``, so that no group grows with the conversation. Repeated rows are one
-    message, and are counted in ``n_messages``. Quotes without an original are dropped like others,
+    of up to ``part`` distinct messages is one row; longer ones are rows of ``part`` at most, whatever
+    their turns are, ordered by ``part``, so that no group grows with the conversation (``section``
+    is always 0). Repeated rows are one message, and are counted in ``n_messages``. Quotes without an original are dropped like others,
     but link nothing. A null ``turn`` comes last and is never linked; messages with a null
     ``conv_id`` belong together under a null id, and are not linked. Other columns are not read; an
     empty table gives no rows.
     """
-    rows = linked_messages(conversations)
-    never = F.lit((1 << 62))
-    place = F.struct(F.coalesce("thread", never).alias("thread"),
-                     F.coalesce("turn", never).alias("turn"), "role", "said")
-    grouped = rows.groupBy(
-        "conv_id", F.floor(F.col("thread") / part).alias("part"),
-        F.floor(F.col("turn") / part).alias("section")).agg(
+    rows = _numbered(linked_messages(conversations))
+    grouped = rows.groupBy("conv_id", F.floor(F.col("number") / part).alias("part")).agg(
         F.sum("copies").alias("n_messages"), F.sum("n_quotes").alias("n_quotes"),
         F.sum("n_linked").alias("n_linked"), F.min("turn").alias("first_turn"),
-        F.max("turn").alias("last_turn"), F.array_sort(F.collect_list(place)).alias("rows"))
+        F.max("turn").alias("last_turn"),
+        F.array_sort(F.collect_list(F.struct("number", "role", "said"))).alias("rows"))
     line = F.transform("rows", lambda x: F.concat(
         F.lit("<|"), x["role"], F.lit("|>\n"), x["said"]))
-    return grouped.select("conv_id", "part", "section", "n_messages", "n_quotes", "n_linked",
+    return grouped.select("conv_id", "part", F.lit(0).cast("long").alias("section"), "n_messages", "n_quotes", "n_linked",
                           "first_turn", "last_turn", F.array_join(line, "\n").alias("chat"))

@@ -167,6 +167,25 @@ def test_a_long_chain_of_replies(spark):
     assert all(r.reply_to == r.turn - 1 for r in linked if r.turn)
 
 
+def test_parts_are_bounded_whatever_the_turns(spark):
+    rows = [(None, i % 3, "user", f"lost {i}") for i in range(700)]
+    rows += [(7, None, "user", f"no turn {i}") for i in range(600)]
+    rows += [(8, 5, "user", f"{'x' * 300} {i:04}") for i in range(513)]
+    rows += [(9, t, "user", f"late {t}") for t in range(250, 261)]
+    rows += [(7, None, "user", f"> said by nobody {i}") for i in range(100)]
+    found = {}
+    for r in chat.format_chats(chats(spark, rows).repartition(7)).collect():
+        found.setdefault(r.conv_id, []).append(r)
+    sizes = {c: [r.n_messages for r in sorted(own, key=lambda r: r.part)]
+             for c, own in found.items()}
+    assert sizes == {None: [256, 256, 188], 7: [256, 256, 188], 8: [256, 256, 1], 9: [11]}
+    for c, own in found.items():
+        said = "\n".join(r.chat for r in sorted(own, key=lambda r: r.part)).split("<|user|>\n")[1:]
+        want = sorted(((t if t is not None else 1 << 62), "" if x.startswith(">") else x)
+                      for d, t, _, x in rows if d == c)
+        assert [x.rstrip("\n") for x in said] == [x for _, x in want]
+
+
 # Pipeline and queries
 
 def write(spark, folder, rows, items):
