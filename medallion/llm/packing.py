@@ -2,7 +2,9 @@
 
 Every task tokenises its documents and best-fits the pieces it has seen into bins. Nearly full bins
 are emitted. The others go on as single items to the next round, where several tasks' leftovers
-meet in one task and are best-fitted again, and so on up a tree until one task holds what is left.
+meet in one task and are best-fitted again, and so on up a tree until one task holds what is left or
+a round leaves more than 95 % of the bins of the one before; the next is then the last, and bins of
+its different tasks are emitted as they are, underfull ones too.
 Only leftovers are shuffled, never the text, and a task holds a bounded number of bins.
 """
 
