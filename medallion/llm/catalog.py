@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from medallion.catalog import Query
 from medallion.llm import (
-    chat, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, packing, simhash,
-    token_counts, toxicity,
+    alignment, chat, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, mixing,
+    packing, simhash, token_counts, toxicity, whitening,
 )
 from medallion.llm.common import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +61,19 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(read_table(spark, sf_dir, "conversations"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(
+        read_table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_counts(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op6_chat_formatting": Query(op6_chat_formatting),
     "op5_benchmark_decontamination": Query(op5_benchmark_decontamination),
@@ -70,4 +85,7 @@ QUERIES = {
     "op10_line_dedup": Query(op10_line_dedup, line_dedup.SQL),
     "op1_best_fit_packing": Query(op1_best_fit_packing),
     "op9_token_counts": Query(op9_token_counts),
+    "op11_embedding_whitening": Query(op11_embedding_whitening),
+    "op12_tokenizer_alignment": Query(op12_tokenizer_alignment),
+    "op13_source_mixing": Query(op13_source_mixing, mixing.SQL),
 }
