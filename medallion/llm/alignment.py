@@ -23,7 +23,7 @@ import heapq
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, groupby, islice
 
 import numpy as np
@@ -48,6 +48,11 @@ RUN_BYTES = 4 << 20
 MEMO_STRETCHES, MEMO_CHARS = 200_000, 64
 #: U+2581 is B's blank; a text that holds it has other bytes in B.
 _MARK = "▁"
+_BEYOND_LATIN = re.compile("[^\x00-\u024f]")
+#: Fixed value: how byte-level vocabularies part a text before their merges.
+_PRE_TOKENS = (r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+#: Ends of a text that cannot stand beside another stretch.
+_LOOSE = re.compile(r"\A(?:[\s\u180e]|\Z)|[\s\u180e]\Z")
 _CUT = re.compile(r"(?<=[^\s᠎▁]) (?=\S)")
 
 RUNS = ("kind int, run long, docs_in_run int, radix int, first long, n_pairs long, n_records long, "
@@ -71,6 +76,7 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
@@ -86,6 +92,9 @@ class Aligner:
         self.bytes_b = [
             bytes([int(self.b.id_to_piece(n)[3:5], 16)]) if self.b.is_byte(n)
             else self.b.id_to_piece(n).replace(_MARK, " ").encode() for n in range(len(self.b))]
+        # The same merges by a faster library, for letters all Unicode versions agree on.
+        self.latin_a = tiktoken.Encoding("a", pat_str=_PRE_TOKENS, special_tokens={}, mergeable_ranks={
+            entry: number for number, entry in self.bytes_a.items()})
         last = max(self.bytes_a) + 1
         self.sizes_a = np.array([len(self.bytes_a.get(n, b"")) for n in range(last)], np.int64)
         self.sizes_b = np.array([len(b) for b in self.bytes_b], np.int64)
@@ -116,17 +125,16 @@ class Aligner:
                 begun_a, begun_b = i, j + 1
         return len(ids_a), len(ids_b), len(groups), ";".join(groups), links.tobytes()
 
-    def learn(self, parts: list[str]) -> None:
-        """Align many stretches at once; the same as ``align`` of each."""
-        ids_a = [e.ids for e in self.a.encode_batch(
-            [" " + part for part in parts], add_special_tokens=False)]
-        ids_b = self.b.encode(parts, num_threads=1)
-        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (ids_a, ids_b))
-        whole = " ".join(["", *parts]).encode()
-        if not (b"".join(map(self.bytes_a.__getitem__, flat_a.tolist())) == whole
-                == b"".join(map(self.bytes_b.__getitem__, flat_b.tolist()))):
+    def learn(self, parts: list[str], encode_a: Callable[[str], list[int]]) -> None:
+        """Align many stretches as one text; the same as ``align`` of each, as none begins or ends
+        with a blank."""
+        whole = " ".join(parts)
+        ids_a, ids_b = encode_a(" " + whole), self.b.encode(whole)
+        if not (b"".join(map(self.bytes_a.__getitem__, ids_a)) == b" " + whole.encode()
+                == b"".join(map(self.bytes_b.__getitem__, ids_b))):
             self.known.extend(map(self.align, parts))
             return
+        flat_a, flat_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
         ends_a, ends_b = np.cumsum(self.sizes_a[flat_a]), np.cumsum(self.sizes_b[flat_b])
         common = np.isin(ends_a, ends_b, assume_unique=True)
         common_b = np.isin(ends_b, ends_a, assume_unique=True)
@@ -138,8 +146,9 @@ class Aligner:
             np.where(common, self.last_a[flat_a], self.text_a[flat_a]),
             np.where(common_b, self.last_b[flat_b], self.text_b[flat_b])])[order].tolist()
         links = flat_b[common_b] << 32 | flat_a[common]
-        counts_a, counts_b = (np.array([len(x) for x in ids]) for ids in (ids_a, ids_b))
-        till_a, till_b = np.cumsum(counts_a), np.cumsum(counts_b)
+        till = np.cumsum([len(part.encode()) + 1 for part in parts])
+        till_a, till_b = np.searchsorted(ends_a, till) + 1, np.searchsorted(ends_b, till) + 1
+        counts_a, counts_b = np.diff(till_a, prepend=0), np.diff(till_b, prepend=0)
         groups = np.diff(np.cumsum(common)[till_a - 1], prepend=0)
         tokens = np.cumsum(counts_a + counts_b)
         at_token = at_link = 0
@@ -154,15 +163,22 @@ class Aligner:
         memo, split = self.memo, []
         for text in texts:
             split.append(_CUT.split(text) if text and _MARK not in text else [])
-        fresh = dict.fromkeys(part for parts in split for part in parts if part not in memo)
+        fresh = set(chain.from_iterable(split)).difference(memo)
+        loose = [part for part in fresh if _LOOSE.search(part)]
+        fresh.difference_update(loose)
+        plain = [part for part in fresh if not _BEYOND_LATIN.search(part)]
+        others = list(fresh.difference(plain))
         base = len(self.known)
-        if fresh:
-            self.learn(list(fresh))
-        new = dict(zip(fresh, range(base, len(self.known))))
-        found = [[memo[part] if part in memo else new[part] for part in parts] for parts in split]
-        for n, part in enumerate(fresh):
-            if len(part) <= MEMO_CHARS:
-                memo[part] = base + n
+        if plain:
+            self.learn(plain, self.latin_a.encode_ordinary)
+        if others:
+            self.learn(others, lambda text: self.a.encode(text, add_special_tokens=False).ids)
+        self.known.extend(map(self.align, loose))
+        memo.update(zip([*plain, *others, *loose], range(base, len(self.known))))
+        found = [list(map(memo.__getitem__, parts)) for parts in split]
+        for part in [*fresh, *loose]:
+            if len(part) > MEMO_CHARS:
+                del memo[part]
         if None in self.known:
             for n, text in enumerate(texts):
                 if any(self.known[k] is None for k in found[n]):
