@@ -128,9 +128,10 @@ def plain_alignment(texts):
             continue
         ends_a = np.cumsum([len(x) for x in bytes_a]).tolist()
         ends_b = np.cumsum([len(x) for x in bytes_b]).tolist()
+        at_a, at_b = ({end: n for n, end in enumerate(ends, 1)} for ends in (ends_a, ends_b))
         links, groups, i, j = [], [], 0, 0
         for end in sorted(set(ends_a) & set(ends_b)):
-            p, q = ends_a.index(end) + 1, ends_b.index(end) + 1
+            p, q = at_a[end], at_b[end]
             groups.append(",".join(map(str, ids_a[i:p])) + "|" + ",".join(map(str, ids_b[j:q])))
             links.append((ids_b[q - 1], ids_a[p - 1]))
             i, j = p, q
