@@ -168,8 +168,13 @@ def _language() -> F.Column:
     return chosen
 
 
-def page_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing rows with keys: ``steam_app_id, block, run_id, ingestion_date, raw_data``."""
+def page_feed(
+    spark: SparkSession, sf_dir: str, updated: int = 60, funny: int = 0, two_weeks: int = 30,
+) -> DataFrame:
+    """Landing rows with keys: ``steam_app_id, block, run_id, ingestion_date, raw_data``.
+
+    ``updated`` seconds lie between the creation and the update of a review.
+    """
     events = table(spark, sf_dir, "events")
     seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     score = F.col("value").cast("string")
@@ -181,7 +186,7 @@ def page_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("user_id").alias("num_games_owned"),
             F.lit(1).alias("num_reviews"),
             (F.col("event_id") + 5).alias("playtime_forever"),
-            F.lit(30).alias("playtime_last_two_weeks"),
+            F.lit(two_weeks).alias("playtime_last_two_weeks"),
             F.lit("60").alias("playtime_at_review"),
             (seconds + 3600).alias("last_played"),
         ).alias("author"),
@@ -189,10 +194,10 @@ def page_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("é "), F.col("props")).alias("review"),
         F.when(late_error, F.lit("not-a-time")).otherwise(seconds.cast("string"))
         .alias("timestamp_created"),
-        (seconds + 60).alias("timestamp_updated"),
+        (seconds + updated).alias("timestamp_updated"),
         (F.col("value") > 50).alias("voted_up"),
         F.floor("value").cast("bigint").alias("votes_up"),
-        F.lit(0).alias("votes_funny"),
+        F.lit(funny).alias("votes_funny"),
         score.alias("weighted_vote_score"),
         F.lit(2).alias("comment_count"),
         (F.col("event_type") == "purchase").alias("steam_purchase"),
