@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from medallion.catalog import Query, table
@@ -14,6 +16,8 @@ from medallion.operators.merge import (
 )
 from medallion.operators.versions import latest_per_key
 from medallion.plans.dims import newer_than_current
+from medallion.session import scratch_folder
+from medallion.sources.layout import write_bucketed
 
 KEYS = ["l_orderkey", "l_linenumber"]
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"]
@@ -52,6 +56,14 @@ def upsert_if_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_current(target, batch(spark, sf_dir, 1, ONE_CUT), UPSERT, SECOND)
 
 
+def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into a table bucketed by its keys: only the batch is dealt out."""
+    name = f"upsert_{uuid.uuid4().hex}"
+    write_bucketed(stamped(batch(spark, sf_dir, 0, ONE_CUT), FIRST), name,
+                   scratch_folder(spark, "upsert"), KEYS, 16)
+    return merge_current(spark.table(name), batch(spark, sf_dir, 1, ONE_CUT), UPSERT, SECOND)
+
+
 def upsert_newer_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price plays the update time, so about half of the matched rows are older and are refused."""
     return merge_current(batch(spark, sf_dir, 0, ONE_CUT), batch(spark, sf_dir, 1, ONE_CUT), NEWER)
@@ -219,6 +231,7 @@ _SEGMENTS = ("""SELECT c_mktsegment, max(c_acctbal) AS c_acctbal, count(*) AS n_
 
 QUERIES = {
     "upsert_if_distinct": Query(upsert_if_distinct, ctes(*TWO, STAMPED, final=_upsert())),
+    "upsert_bucketed": Query(upsert_bucketed, ctes(*TWO, STAMPED, final=_upsert())),
     "upsert_newer_wins": Query(upsert_newer_wins, ctes(*TWO, final=current_step(
         "b0", "b1", KEYS, COLUMNS, ["l_partkey", "l_suppkey", *MEASURES],
         "s.l_extendedprice > t.l_extendedprice"))),

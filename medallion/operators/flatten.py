@@ -255,3 +255,15 @@ def accepted_pages(checked: DataFrame) -> DataFrame:
 
 def rejected_pages(checked: DataFrame) -> DataFrame:
     return checked.where(F.size("page_errors") > 0).drop("page")
+
+
+def gated_pages(landing: DataFrame) -> DataFrame:
+    """Landing rows with ``page_errors`` and ``outcome``: accepted, rejected or unreadable.
+
+    Unreadable is a text that is no JSON object; every page has exactly one outcome.
+    """
+    checked = page_errors(landing)
+    unreadable = F.col("page").isNull() | F.try_parse_json("raw_data").isNull()
+    outcome = F.when(unreadable, "unreadable").when(
+        F.size("page_errors") > 0, "rejected").otherwise("accepted")
+    return checked.withColumn("outcome", outcome).drop("page")

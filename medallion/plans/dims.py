@@ -123,11 +123,3 @@ DIMENSIONS = {
 def latest_in_batch(raw: DataFrame, order: Sequence[str] = ("inserted_at", "raw_id")) -> DataFrame:
     """V1: newest raw version of each review in a batch."""
     return latest_by(raw, ("app_id", "review_id"), order)
-
-
-def upsert_clean_reviews(target: DataFrame, source: DataFrame, with_action=False) -> DataFrame:
-    return merge_current(target, source, CLEAN_REVIEWS, with_action=with_action)
-
-
-def upsert_clean_players(target: DataFrame, source: DataFrame, with_action=False) -> DataFrame:
-    return merge_current(target, source, CLEAN_PLAYERS, with_action=with_action)

@@ -1,6 +1,8 @@
-"""Page documents as files, one JSON document per file, in folders named by keys.
+"""Page documents as files in folders named by keys.
 
-Layout: ``steam_app_id=<id>/ingestion_date=<yyyy-mm-dd>/<run>.json``.
+Layout: ``steam_app_id=<id>/ingestion_date=<yyyy-mm-dd>/run=<key>/part-*``. ``write_pages`` makes a
+file of each document, as it comes; ``write_packed`` makes files of many, one JSON line each, whose number
+follows the bytes. Both are read back as the same rows.
 """
 
 from __future__ import annotations
@@ -34,6 +36,44 @@ def stream_pages(spark: SparkSession, path: str, max_files: int | None = None) -
     return reader.text(path).withColumnRenamed("value", "raw_data")
 
 
+PACKED_SCHEMA = T.StructType([T.StructField("raw_data", T.StringType()), *PAGE_PARTITIONS.fields])
+
+
+def write_packed(pages: DataFrame, path: str) -> None:
+    """Pages ``(steam_app_id, ingestion_date, run_id, raw_data)``, many to a file, by run.
+
+    A run written again replaces its own folder and no other. Adaptive execution cuts a run into files
+    of the advisory partition size, and a heavy run is several tasks.
+    """
+    keys = ["steam_app_id", "ingestion_date", "run"]
+    (
+        pages.select(*keys[:2], run_key(F.col("run_id")).alias("run"), "raw_data")
+        .hint("rebalance", *keys)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys).json(path)
+    )
+
+
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PACKED_SCHEMA).json(path)
+
+
+def stream_packed(
+    spark: SparkSession, path: str, max_bytes: int | None = None,
+    archive: str | None = None,
+) -> DataFrame:
+    """Packed pages as a stream, at most about ``max_bytes`` of files a batch (at least one file).
+
+    With ``archive``, files go there once a later batch is committed, so the listing stays short.
+    """
+    reader = spark.readStream.schema(PACKED_SCHEMA)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.json(path)
+
+
 def to_landing(pages: DataFrame, now: Column | str | None = None) -> DataFrame:
     """Landing rows: the document and the time it arrived (default: the time of the run)."""
     if now is None:

@@ -8,15 +8,17 @@ with ``trigger=None`` takes what is there and stops, with a lag like ``"1 minute
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from medallion.operators.flatten import flag_reviews, flatten_reviews, unreadable_pages
+from medallion.operators.flatten import (
+    flag_reviews, flatten_reviews, gated_pages, unreadable_pages,
+)
 from medallion.operators.quarantine import player_quarantine, review_quarantine
 from medallion.plans.dims import Dimension
 from medallion.schemas import BRONZE_SCHEMA, LANDING_SCHEMA
-from medallion.sources.pages import stream_pages, to_landing
+from medallion.sources.pages import stream_packed, stream_pages, to_landing
 from medallion.sources.snapshots import NOTHING, SnapshotTable
 
 # How far each table may lag behind.
@@ -51,6 +53,37 @@ def start_landing(
     return _append(to_landing(stream_pages(spark, pages, max_files)), landing, checkpoint, trigger)
 
 
+def start_packed_landing(
+    spark: SparkSession, pages: str, landing: str, checkpoint: str, trigger: str | None = None,
+    max_bytes: int | None = None, archive: str | None = None,
+) -> StreamingQuery:
+    """Packed page files to landing rows, each file once, batches bounded by bytes."""
+    rows = to_landing(stream_packed(spark, pages, max_bytes, archive))
+    return _append(rows, landing, checkpoint, trigger)
+
+
+def start_page_gate(
+    spark: SparkSession, landing: str, target: str, checkpoint: str, trigger: str | None = None,
+) -> StreamingQuery:
+    """Landing rows into ``<target>/batch_id=N/outcome=accepted|rejected|unreadable``.
+
+    A page is parsed once, and one write fills all three; a batch that is repeated writes its own
+    folder again. ``gated`` reads one outcome.
+    """
+    def gate(batch: DataFrame, batch_id: int) -> None:
+        gated_pages(batch).write.mode("overwrite").partitionBy("outcome").parquet(
+            f"{target}/batch_id={batch_id}")
+
+    rows = spark.readStream.schema(LANDING_SCHEMA).parquet(landing)
+    return _triggered(rows.writeStream.foreachBatch(gate).option(
+        "checkpointLocation", checkpoint), trigger).start()
+
+
+def gated(target: str, outcome: str = "accepted") -> str:
+    """Path of one outcome of the page gate, for a reader or the next stream."""
+    return f"{target}/*/outcome={outcome}"
+
+
 def start_bronze(
     spark: SparkSession, landing: str, bronze: str, checkpoint: str, trigger: str | None = None,
 ) -> StreamingQuery:
@@ -141,12 +174,14 @@ def finished_upto(spark: SparkSession, path: str, after: int, first: int = 0) ->
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return after
-    later = markers.where(F.col("ingest_batch") > after).select("ingest_batch").distinct()
-    place = F.row_number().over(Window.orderBy("ingest_batch"))
-    run = later.select("ingest_batch", place.alias("place")).where(
-        F.col("ingest_batch") == F.col("place") + (max(after + 1, first) - 1))
-    last = run.agg(F.max("ingest_batch").alias("last")).first()["last"]
-    return after if last is None else last
+    start = max(after + 1, first)
+    later = markers.where(F.col("ingest_batch") >= start).select("ingest_batch").distinct()
+    # A batch ends the run when the one behind it has no marker.
+    behind = later.select((F.col("ingest_batch") - 1).alias("ingest_batch"))
+    found = later.join(behind, "ingest_batch", "left_anti").agg(
+        F.min("ingest_batch").alias("last")).crossJoin(
+        later.agg(F.min("ingest_batch").alias("low"))).first()
+    return found["last"] if found["low"] == start else after
 
 
 def read_batches(
