@@ -33,6 +33,14 @@ def id_and_text(documents: DataFrame) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def free_name(documents: DataFrame, wanted: str) -> str:
+    """``wanted``, longer as long as the table has a column of that name."""
+    taken = {name.lower() for name in documents.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -27,11 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.chartext import Lookup
-from medallion.llm.common import id_and_text, prepare_workers
+from medallion.llm.common import free_name, id_and_text, prepare_workers
 
 SIMILARITY = 0.8
-#: Shorter items cannot be told from ordinary prose and are not searched for.
-MIN_WORDS = 5
 WALKS = 2
 SAMPLES = 32
 PLACES = 3
@@ -109,6 +107,7 @@ class Index:
     walks: int
     samples: int
     places: int
+    short: dict[int, dict[tuple[int, ...], list[int]]]  # by length: words of items found exactly
     pairs: Lookup = None
     lengths: list[int] = field(default_factory=list)
     sampled: dict[int, np.ndarray] = field(default_factory=dict)
@@ -126,17 +125,20 @@ class Index:
         ids, coded = [], []
         for number, text in items:
             words = words_of(text)
-            if len(words) >= MIN_WORDS:
+            if words:
                 ids.append(number)
                 coded.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1)
                                        for w in words], np.int64))
-        parts = []
+        parts, short = [], {}
         for number, code in enumerate(coded):
+            if not allowed(len(code), similarity):
+                short.setdefault(len(code), {}).setdefault(tuple(code.tolist()), []).append(number)
+                continue
             offset = 0
             for part in np.array_split(code, -(-len(code) // STRETCH)):
                 parts.append((number, offset, part))
                 offset += len(part)
-        self = cls(ids, coded, parts, vocabulary, similarity, walks, samples, places)
+        self = cls(ids, coded, parts, vocabulary, similarity, walks, samples, places, short)
         longest = max((len(c) for _, _, c in parts), default=0)
         symbols = np.arange(len(vocabulary) + 1)
         self.bits = [[_mix(symbols, SEED + 1000 * w + block) for block in range(
@@ -144,7 +146,7 @@ class Index:
         self.labels = _mix(symbols, SEED)
         self.spelled = {w + mark: n for w, n in vocabulary.items() for mark in ("", ".", ",")}
         self.distinct = [np.unique(c) for c in coded]
-        pairs = [self.pair_keys(c) for c in coded]
+        pairs = [self.pair_keys(c) for c in coded if allowed(len(c), similarity)]
         keys = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.uint64)
         self.pairs = Lookup(keys, np.ones(len(keys)))
         random = np.random.default_rng(SEED)
@@ -160,7 +162,7 @@ class Index:
             sort = np.argsort(flat, kind="stable")
             self.tables[length] = flat[sort], item[sort]
             self.lengths.append(length)
-            self.needs[length] = max(1, min(self._needed(parts[i][2]) for i in own))
+            self.needs[length] = max(0, min(self._needed(parts[i][2]) for i in own))
         return self
 
     def _needed(self, item: np.ndarray) -> int:
@@ -242,14 +244,32 @@ class Index:
                         found.append(np.stack([parts[entry], np.repeat(own[met], count)], axis=1))
         return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
 
+    def exact(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
+        """``item, start, end`` of the first stretch equal to each item that may have no edit."""
+        out, known = [], np.flatnonzero(codes > 0)
+        for length, items in self.short.items():
+            if len(known) < length:
+                continue
+            firsts = np.array(sorted({words[0] for words in items}), np.int64)
+            open_items = dict(items)
+            for at in known[np.isin(codes[known], firsts)].tolist():
+                for item in open_items.pop(tuple(codes[at:at + length].tolist()), ()):
+                    out.append((item, at, at + length))
+                if not open_items:
+                    break
+        return sorted(out)
+
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int, int]]:
         """``text, item id, item length, distance, start, end`` of each item found in one of the
         lower-cased texts: its best stretch."""
         codes = [self.codes(text) for text in texts]
         lengths = np.array([len(c) + 1 for c in codes], np.int64)
         last = np.cumsum(lengths) - 1
+        exact = [(number, self.ids[item], end - start, 0, start, end)
+                 for number, code in enumerate(codes) for item, start, end in (
+                     self.exact(code) if self.short else ())]
         if not len(lengths) or not self.lengths:
-            return []
+            return exact
         text = np.concatenate([np.append(c, 0) for c in codes])
         pairs = self.candidates(text, np.repeat(last, lengths))
         owner = np.searchsorted(last, pairs[:, 1])
@@ -258,7 +278,7 @@ class Index:
             item, offset, _ = self.parts[part]  # where the item begins if no edit is before the part
             near.setdefault((number, item), []).append(
                 start - offset - int(last[number] - lengths[number] + 1))
-        out = []
+        out = exact
         for (number, item), starts in sorted(near.items()):
             wanted, words = self.items[item], codes[number]
             edits = allowed(len(wanted), self.similarity)
@@ -298,13 +318,13 @@ def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns. A row is named by its id
     and its text's hash: one without an id goes only if its own text holds an item, and so do rows
     that share an id."""
-    last = F.lit((1 << 63) - 1)
+    last, (sid, th) = F.lit((1 << 63) - 1), (free_name(documents, n) for n in ("_sid", "_th"))
     leaks = _search(documents, benchmark).select(
-        F.coalesce("doc_id", last).alias("_sid"), F.col("th").alias("_th")).distinct()
+        F.coalesce("doc_id", last).alias(sid), F.col("th").alias(th)).distinct()
     marked = documents.withColumns({
-        "_sid": F.coalesce(F.col("doc_id").cast("long"), last),
-        "_th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    return marked.join(leaks, ["_sid", "_th"], "left_anti").select(*documents.columns)
+        sid: F.coalesce(F.col("doc_id").cast("long"), last),
+        th: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    return marked.join(leaks, [sid, th], "left_anti").drop(sid, th)
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
@@ -315,8 +335,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, similarity: float =
 
     Words are runs of letters, digits and underscores, lower-cased; an item is found if a stretch
     of the whole text is within ``(1 - similarity)`` of the item's words in word edits. The best
-    stretch is given, the first of equal ones. Null or empty texts and items, and items of fewer
-    than MIN_WORDS words, give no rows. Rows that repeat a document or an item, id and text, give
+    stretch is given, the first of equal ones. Items so short that no edit is allowed are found as
+    exact copies. Null or empty texts and items give no rows. Rows that repeat a document or an item, id and text, give
     equal rows; items that share a text are each found. A null ``item_id`` is searched for like any
     other and, like a null ``doc_id``, stays null. Other columns are not read.
     """

@@ -16,7 +16,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.llm.common import ascii_lower, id_and_text, written
+from medallion.llm.common import ascii_lower, free_name, id_and_text, written
 
 CAPACITY = 65_536
 #: Directory bits added per round: a histogram has at most two to this power cells per bucket.
@@ -143,14 +143,14 @@ def exact_dedup(documents: DataFrame, capacity: int = CAPACITY,
 
 def deduplicated(documents: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns; of repeated rows of one id, one."""
+    own_id, sha = free_name(documents, "_id"), free_name(documents, "_sha")
     stay = exact_dedup(documents).where("kept").select(
-        F.coalesce("doc_id", F.lit(-1 << 63)).alias("_id"), F.col("text_sha256").alias("_sha"))
+        F.coalesce("doc_id", F.lit(-1 << 63)).alias(own_id), F.col("text_sha256").alias(sha))
     norm = ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
     marked = documents.withColumns({
-        "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)),
-        "_sha": F.sha2(norm, 256)})
-    return marked.join(stay.distinct(), ["_id", "_sha"], "left_semi").dropDuplicates(
-        ["_id", "_sha"]).drop("_id", "_sha")
+        own_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)), sha: F.sha2(norm, 256)})
+    return marked.join(stay.distinct(), [own_id, sha], "left_semi").dropDuplicates(
+        [own_id, sha]).drop(own_id, sha)
 
 
 SQL = """

@@ -17,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import BLANKS, ascii_lower, prepare_workers, id_and_text, written
+from medallion.llm.common import (
+    BLANKS, ascii_lower, free_name, id_and_text, prepare_workers, written,
+)
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -205,36 +207,39 @@ def keep_bitmaps(documents: DataFrame, min_chars: int = MIN_CHARS,
     return places.mapInArrow(pack, "sid long, th long, n_dropped long, bitmap binary")
 
 
-def _cut(batches):
-    """The text column without the lines its bitmap clears; the bitmap goes."""
-    for batch in batches:
-        at, bitmaps = batch.schema.get_field_index("text"), batch.column("_bitmap")
-        texts = []
-        for text, bitmap in zip(batch.column(at), bitmaps, strict=True):
-            text = text.as_py()
-            if bitmap.is_valid:
-                lines = text.split("\n")
-                kept = unpack_bitmap(bitmap.as_py(), len(lines))
-                text = "\n".join(x for x, k in zip(lines, kept, strict=True) if k)
-            texts.append(text)
-        columns = list(batch.columns)
-        columns[at] = pa.array(texts, batch.schema.field(at).type)
-        yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).drop_columns(["_bitmap"])
+def _cut(name: str):
+    """The text column without the lines that the bitmap of that name clears; the bitmap goes."""
+    def run(batches):
+        for batch in batches:
+            at, bitmaps = batch.schema.get_field_index("text"), batch.column(name)
+            texts = []
+            for text, bitmap in zip(batch.column(at), bitmaps, strict=True):
+                text = text.as_py()
+                if bitmap.is_valid:
+                    lines = text.split("\n")
+                    kept = unpack_bitmap(bitmap.as_py(), len(lines))
+                    text = "\n".join(x for x, k in zip(lines, kept, strict=True) if k)
+                texts.append(text)
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).drop_columns([name])
+    return run
 
 
 def with_lines_dropped(documents: DataFrame, min_chars: int = MIN_CHARS,
-                       min_docs: int = MIN_DOCS) -> DataFrame:
+                       min_docs: int = MIN_DOCS, dropped: str = "_dropped") -> DataFrame:
     """The rows of the table with all their columns, the text without the lines that go, and the
-    number of them as ``_dropped``. A null text stays null."""
+    number of them as ``dropped``, a name the table must not have. A null text stays null."""
+    sid, th, bitmap = (free_name(documents, name) for name in ("_sid", "_th", "_bitmap"))
     bitmaps = keep_bitmaps(documents, min_chars, min_docs).select(
-        F.col("sid").alias("_sid"), F.col("th").alias("_th"),
-        F.col("n_dropped").alias("_dropped"), F.col("bitmap").alias("_bitmap"))
+        F.col("sid").alias(sid), F.col("th").alias(th),
+        F.col("n_dropped").alias(dropped), F.col("bitmap").alias(bitmap))
     marked = documents.withColumns({
-        "_sid": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)),
-        "_th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    joined = marked.join(bitmaps, ["_sid", "_th"], "left").drop("_sid", "_th").withColumn(
-        "_dropped", F.coalesce("_dropped", F.lit(0).cast("long")))
-    return joined.mapInArrow(_cut, joined.drop("_bitmap").schema)
+        sid: F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)),
+        th: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    joined = marked.join(bitmaps, [sid, th], "left").drop(sid, th).withColumn(
+        dropped, F.coalesce(dropped, F.lit(0).cast("long")))
+    return joined.mapInArrow(_cut(bitmap), joined.drop(bitmap).schema)
 
 
 def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS,

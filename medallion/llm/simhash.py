@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import prepare_workers, id_and_text, written
+from medallion.llm.common import free_name, id_and_text, prepare_workers, written
 from medallion.llm.components import components
 
 SEED = 42
@@ -264,12 +264,11 @@ def representatives(documents: DataFrame, width: int = WIDTH, radius: int = RADI
     """The documents without their near copies, with all their columns: of each component the row
     with the smallest ``doc_id`` (rows without an id come last; ties by the text's hash); of rows
     that repeat it, one."""
-    last = F.lit((1 << 63) - 1)
+    last, (sid, th) = F.lit((1 << 63) - 1), (free_name(documents, n) for n in ("_sid", "_th"))
     stay = labelled(documents, width, radius).groupBy("root").agg(
         F.min(F.struct(F.coalesce("doc_id", last).alias("id"), "th")).alias("s")).select(
-        F.col("s.id").alias("_sid"), F.col("s.th").alias("_th")).distinct()
+        F.col("s.id").alias(sid), F.col("s.th").alias(th)).distinct()
     marked = documents.withColumns({
-        "_sid": F.coalesce(F.col("doc_id").cast("long"), last),
-        "_th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    return marked.join(stay, ["_sid", "_th"], "left_semi").dropDuplicates(
-        ["_sid", "_th"]).select(*documents.columns)
+        sid: F.coalesce(F.col("doc_id").cast("long"), last),
+        th: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    return marked.join(stay, [sid, th], "left_semi").dropDuplicates([sid, th]).drop(sid, th)

@@ -1,217 +1,254 @@
-"""Toxicity by class-conditional Kneser-Ney models of letters.
-
-A model of the toxic and one of the ordinary training documents give each letter after its
-history; a document's score compares the two log-likelihoods per letter. Only the longest history is
-counted by class: all shorter ones back off to Kneser-Ney counts that both classes share, so a rare
-expression counts for neither class. Models are fitted on a bounded sample of labelled documents
-and are small tables; scoring is one pass over the text.
+"""Toxicity by class-conditional Kneser-Ney models of words.
+
+A model of the toxic and one of the ordinary training documents give each word a probability: the
+share of the class's documents-and-words that are this one, discounted, and what the discount frees
+goes to backoff counts that both classes share. A word that few documents hold is then nearly as likely in
+either model. A document is scored by the difference of its two log-likelihoods: per word over the
+whole text, of its strongest word and of its strongest run of words, as a few strong words can
+drown in a long text. A logistic curve weighs the three; it is fitted on the training documents, each scored
+without its own counts. Everything is fitted on a bounded sample of labelled documents and is a small
+table; scoring is one pass over the text.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from collections import Counter
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.chartext import Lookup, first_letters, grams, last_letters, stretches
-from medallion.llm.common import crc_bucket, id_and_text, prepare_workers
+from medallion.llm.common import crc_bucket, id_and_text, prepare_workers, slices, written
 
-ORDER = 4
-DISCOUNT = 1.0
-#: Labelled documents per class, in expectation, that the models and the threshold are fitted on.
+DISCOUNT = 0.75
+#: Words of a strongest run.
+RUN = 3
+#: Labelled documents per class, in expectation, that the models and the curve are fitted on.
 SAMPLE = 10_000
-#: One in so many of them is kept from the models and fits the threshold.
-FOLDS = 5
+#: Training documents that hold a word, at least; all rarer ones are one unknown word.
+KNOWN = 2
 HELD_OUT = 5
+#: Words a task holds before it passes their counts on.
+HELD_WORDS = 500_000
+SHRINKAGE = 0.1
 _SCALE = 1 << 20
+_WORD = re.compile(r"\w+")
 
 
-def _kneser_ney(counts: np.ndarray, contexts: np.ndarray, backoff: np.ndarray, discount: float):
-    """Discounted probability of each gram, and the mass left to the backoff, by context."""
-    total = np.bincount(contexts, weights=counts)
-    left = np.bincount(contexts, weights=np.minimum(counts, discount))
-    seen = total > 0
-    share = np.where(seen, left / np.where(seen, total, 1), 1.0)
-    direct = np.maximum(counts - discount, 0) / np.where(seen, total, 1)[contexts]
-    return direct + share[contexts] * backoff, share
-
-
-def shared_backoff(keys: np.ndarray, order: int, discount: float = 0.75) -> np.ndarray:
-    """Probability of each gram's last letter after the shorter histories, by continuation counts."""
-    levels, longer = [], keys
-    for n in range(order - 1, 0, -1):
-        shorter, counts = np.unique(last_letters(longer, n), return_counts=True)
-        levels.append((n, shorter, counts))
-        longer = shorter
-    known, probability = None, None
-    for n, here, counts in reversed(levels):
-        if known is None:
-            back = np.full(len(here), 1.0 / (len(here) + 1))
-        else:
-            back = probability[np.searchsorted(known, last_letters(here, n - 1))]
-        contexts = np.unique(first_letters(here), return_inverse=True)[1]
-        probability, _ = _kneser_ney(counts.astype(float), contexts, back, discount)
-        known = here
-    if known is None:
-        return np.full(len(keys), 1.0 / (len(keys) + 1))
-    return probability[np.searchsorted(known, last_letters(keys, order - 1))]
+def words_of(part: str) -> list[str]:
+    return _WORD.findall(part.lower())
 
 
 @dataclass
 class Model:
-    order: int
-    gram: Lookup        # log ratio of a gram that a class has seen
-    context: Lookup     # log ratio of a letter new after a known history
-    slope: float = 1.0
-    offset: float = 0.0
-
-    @classmethod
-    def fit(cls, keys: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray, order: int,
-            discount: float) -> Model:
-        shared = shared_backoff(keys, order)
-        histories, contexts = np.unique(first_letters(keys), return_inverse=True)
-        gram_o, left_o = _kneser_ney(ordinary, contexts, shared, discount)
-        gram_t, left_t = _kneser_ney(toxic, contexts, shared, discount)
-        tiny = 1e-12
-        return cls(order, Lookup(keys, np.log(gram_t + tiny) - np.log(gram_o + tiny)),
-                   Lookup(histories, np.log(left_t + tiny) - np.log(left_o + tiny)))
-
-    def ratios(self, texts: list[str]) -> np.ndarray:
-        """Toxic minus ordinary log-likelihood per letter; 0 for a text without letters."""
-        total, number = np.zeros(len(texts)), np.zeros(len(texts))
-        for owner, codes, ends in stretches(texts):
-            keys, part = grams(codes, ends, self.order)
-            value, found = self.gram.get(keys)
-            value[~found] = self.context.get(first_letters(keys[~found]))[0]
-            total += np.bincount(owner[part], weights=value, minlength=len(texts))
-            number += np.bincount(owner[part], minlength=len(texts))
-        return total / np.maximum(number, 1)
+    """``ordinary`` and ``toxic``: documents of each class that hold each of ``words``; ``totals`` and
+    ``kinds``: counts and different words of each class, unknown ones included."""
+
+    words: list[str]
+    ordinary: np.ndarray
+    toxic: np.ndarray
+    totals: tuple[int, int]
+    kinds: tuple[int, int]
+    centre: np.ndarray = field(default_factory=lambda: np.zeros(3))
+    spread: np.ndarray = field(default_factory=lambda: np.ones(3))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
+    _places: dict[str, int] = None
+    _ratios: list[np.ndarray] = None
+
+    def shared(self, ordinary: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        """Backoff probability: documents of both classes that hold the word; an unknown word has a half."""
+        whole = float((self.ordinary + self.toxic).sum()) + 0.5 * (len(self.words) + 1)
+        return (ordinary + toxic + 0.5) / whole
+
+    def log_ratio(self, ordinary: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        """Toxic minus ordinary log-probability of words with these counts."""
+        back, logs = self.shared(ordinary, toxic), []
+        for counts, total, kinds in zip((ordinary, toxic), self.totals, self.kinds):
+            logs.append(np.log((np.maximum(counts - DISCOUNT, 0) + DISCOUNT * kinds * back) / total))
+        return logs[1] - logs[0]
+
+    def ratios(self, own: int | None = None) -> np.ndarray:
+        """Of every word and, last, the unknown one, against the unknown one; ``own`` is the class
+        of a document whose counts are taken out."""
+        if self._ratios is None:
+            o, t = np.append(self.ordinary, 0.0), np.append(self.toxic, 0.0)
+            found = [self.log_ratio(o, t), self.log_ratio(np.maximum(o - 1, 0), t),
+                     self.log_ratio(o, np.maximum(t - 1, 0))]
+            self._ratios = [f - f[-1] for f in found]
+            self._places = {word: n for n, word in enumerate(self.words)}
+        return self._ratios[0 if own is None else own + 1]
+
+    def features(self, texts: list[str], own: list[int] | None = None) -> np.ndarray:
+        """Per text the mean ratio, the highest, and the highest mean of RUN words in a row (of all,
+        where there are fewer); the training's average for a text without words."""
+        rows = np.empty((len(texts), 3))
+        for n, text in enumerate(texts):
+            table = self.ratios(None if own is None else own[n])
+            place, unknown = self._places.get, len(self.words)
+            total, count, most, best = 0.0, 0, -np.inf, -np.inf
+            carried = np.empty(0)
+            for part in slices(text):
+                numbers = [place(word, unknown) for word in words_of(part)]
+                if not numbers:
+                    continue
+                values = table[numbers]
+                total, count = total + float(values.sum()), count + len(values)
+                most = max(most, float(values.max()))
+                row = np.concatenate([carried, values])
+                if len(row) >= RUN:
+                    sums = np.cumsum(np.concatenate([[0.0], row]))
+                    best = max(best, float((sums[RUN:] - sums[:-RUN]).max()) / RUN)
+                carried = row[-(RUN - 1):]
+            rows[n] = (total / count, most, best if count >= RUN else total / count) if count else (
+                self.centre)
+        return rows
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.ratios(texts) + self.offset, -50, 50)))
-
-
-def fit_threshold(ratios: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a weighted logistic curve, by Newton steps with a little shrinkage."""
-    scale = float(np.std(ratios)) or 1.0
-    x = np.stack([ratios / scale, np.ones(len(ratios))], axis=1)
-    w = weights / weights.mean()
-    beta = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -50, 50)))
-        slope = x.T @ (w * (toxic - p)) - 1e-2 * beta
-        bend = (x * (w * p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
+        return _logistic(_with_one((self.features(texts) - self.centre) / self.spread), self.weights)
+
+    def fit(self, features: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> None:
+        """A weighted logistic curve by Newton steps, a little shrunk.
+
+        A higher ratio never counts against toxicity: a feature that would is left out. On a few
+        documents it may, as each is scored without its own counts.
+        """
+        w = weights / weights.mean()
+        self.centre = (features * w[:, None]).sum(axis=0) / w.sum()
+        self.spread = np.maximum(features.std(axis=0), 1e-9)
+        x = _with_one((features - self.centre) / self.spread)
+        used = np.ones(4, bool)
+        while True:
+            beta = np.zeros(4)
+            beta[used] = _newton(x[:, used], toxic, w, SHRINKAGE * (np.arange(4)[used] < 3))
+            if (beta[:3] >= 0).all():
+                self.weights = beta
+                return
+            used[int(beta[:3].argmin())] = False
+
+
+def _newton(x: np.ndarray, toxic: np.ndarray, w: np.ndarray, shrink: np.ndarray) -> np.ndarray:
+    beta = np.zeros(x.shape[1])
+    for _ in range(100):
+        p = _logistic(x, beta)
+        slope = x.T @ (w * (toxic - p)) - shrink * beta
+        bend = (x * (w * p * (1 - p))[:, None]).T @ x + np.diag(shrink) + 1e-9 * np.eye(len(beta))
         step = np.linalg.solve(bend, slope)
         beta += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
-    return float(beta[0]) / scale, float(beta[1])
+    return beta
 
 
-def _counted(order: int):
-    """Counts of each gram in ordinary and toxic documents, added up within a task."""
-    def run(batches):
-        held: dict[int, list[np.ndarray]] = {0: [], 1: []}
-        sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-        def fold(label: int) -> None:
-            found = [np.unique(k, return_counts=True) for k in held[label]]
-            if label in sums:
-                found.append(sums[label])
-            keys = np.concatenate([k for k, _ in found])
-            counts = np.concatenate([c for _, c in found])
-            unique, place = np.unique(keys, return_inverse=True)
-            sums[label] = unique, np.bincount(place, weights=counts).astype(np.int64)
-            held[label] = []
+def _with_one(x: np.ndarray) -> np.ndarray:
+    return np.column_stack([x, np.ones(len(x))])
 
-        for batch in batches:
-            labels = np.array(batch.column("toxic").to_pylist())
-            for label in (0, 1):
-                texts = [t.as_py() for t, y in zip(batch.column("text"), labels, strict=True)
-                         if y == label]
-                for _, codes, ends in stretches(texts):
-                    held[label].append(grams(codes, ends, order)[0])
-                    if len(held[label]) >= 8:
-                        fold(label)
-        for label in (0, 1):
-            if held[label]:
-                fold(label)
-            if label in sums:
-                keys, counts = sums[label]
-                for at in range(0, len(keys), 100_000):
-                    k, c = keys[at:at + 100_000], counts[at:at + 100_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(k), label, np.int32)), pa.array(k.view(np.int64)),
-                         pa.array(c)], names=["toxic", "gram", "n"])
-    return run
+
+def _logistic(x: np.ndarray, beta: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ beta, -50, 50)))
+
+
+def _counted(batches):
+    """How many documents of either class hold each word, added up within a task."""
+    held: tuple[Counter, Counter] = Counter(), Counter()
+
+    def let_go():
+        for word in held[0].keys() | held[1].keys():
+            yield word, held[0][word], held[1][word]
+        held[0].clear()
+        held[1].clear()
+
+    def rows(items):
+        items = list(items)
+        if items:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(
+                    zip(*items), (pa.string(), pa.int64(), pa.int64()))],
+                names=["word", "ordinary", "toxic"])
+
+    for batch in batches:
+        for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist()):
+            held[label].update({word for part in slices(text.as_py()) for word in words_of(part)})
+            if len(held[0]) + len(held[1]) > HELD_WORDS:
+                yield from rows(let_go())
+    yield from rows(let_go())
 
 
 def learned_rows(doc_id: Column) -> Column:
     return crc_bucket(doc_id, HELD_OUT) != 0
 
 
-def train(documents: DataFrame, labels: DataFrame, order: int = ORDER, discount: float = DISCOUNT,
-          sample: int = SAMPLE) -> Model | None:
-    """Models of both classes; None if the training rows do not hold both.
+def labelled(documents: DataFrame, labels: DataFrame, sample: int) -> tuple[DataFrame, dict]:
+    """``text, toxic`` of the drawn training documents, each id and text once, and class sizes.
 
-    The same number of documents of either class is drawn, by a hash of the id, so that the two
-    models are equally sharp. What comes to the driver is bounded by ``sample``.
+    Rows are drawn by a hash of id and text, so neither a repeated id nor a repeated row gathers;
+    there are about ``sample`` of a class, or all where it has fewer.
     """
     usable = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(
-        F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learned_rows(F.col("doc_id")))
-    usable = usable.distinct()
-    sizes = {row.toxic: row["count"] for row in usable.groupBy("toxic").count().collect()}
+        F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()
+        & learned_rows(F.col("doc_id"))).distinct()
+    named = id_and_text(documents).withColumn("th", F.xxhash64("text"))
+    known = named.select("doc_id", "th").distinct().join(usable, "doc_id")
+    known = written(known, "toxicity")
+    sizes = {row.toxic: row["count"] for row in known.groupBy("toxic").count().collect()}
+    place = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id", "th"), F.lit(_SCALE))
+    limit = {y: -(-min(sample, n) * _SCALE // n) for y, n in sizes.items()}
+    drawn = known.where(place < F.when(F.col("toxic") == 1, F.lit(limit.get(1, 0))).otherwise(
+        F.lit(limit.get(0, 0))))
+    # About two samples of ids and hashes: their number is the parameter's, not the table's.
+    rows = named.join(F.broadcast(drawn), ["doc_id", "th"]).dropDuplicates(["doc_id", "th", "toxic"])
+    return written(rows.select("text", "toxic"), "toxicity"), sizes
+
+
+def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
+    """The fitted models; None if the training rows do not hold words of both classes.
+
+    What comes to the driver, the words of drawn documents and three numbers of each, is bounded by
+    ``sample``.
+    """
+    rows, sizes = labelled(documents, labels, sample)
     if len(sizes) < 2:
         return None
-    wanted = min(sample, *sizes.values())
-    place = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(_SCALE))
-    limits = {y: -(-wanted * _SCALE // n) for y, n in sizes.items()}
-    drawn = usable.where(place < F.when(F.col("toxic") == 1, limits[1]).otherwise(limits[0]))
-    fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS))
-    # At most about two samples of ids: their number is the parameter's, not the table's.
-    rows = id_and_text(documents).join(F.broadcast(drawn), "doc_id").withColumn("fold", fold)
-    counts = rows.where("fold > 0").select("toxic", "text").mapInArrow(
-        _counted(order), "toxic int, gram long, n long")
-    table = counts.groupBy("gram").agg(
-        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("ordinary"),
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic")).toArrow()
-    keys = table["gram"].to_numpy().view(np.uint64)
-    if not len(keys):
+    counts = written(rows.mapInArrow(_counted, "word string, ordinary long, toxic long").groupBy(
+        "word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "toxicity")
+    whole = counts.agg(F.sum("ordinary"), F.sum("toxic"), F.count(F.when(F.col("ordinary") > 0, 1)),
+                       F.count(F.when(F.col("toxic") > 0, 1))).first()
+    if not whole[0] or not whole[1]:
         return None
-    sort = np.argsort(keys)
-    model = Model.fit(keys[sort], table["ordinary"].to_numpy()[sort].astype(float),
-                      table["toxic"].to_numpy()[sort].astype(float), order, discount)
-    kept = _scored(rows.where("fold = 0").select("toxic", "text"), model, "toxic").toArrow()
-    y = kept["toxic"].to_numpy().astype(float)
-    if len(set(y.tolist())) == 2:
-        weights = np.where(y == 1, sizes[1] / y.sum(), sizes[0] / (len(y) - y.sum()))
-        model.slope, model.offset = fit_threshold(kept["ratio"].to_numpy(), y, weights)
-    return model
-
+    table = counts.where(F.col("ordinary") + F.col("toxic") >= KNOWN).orderBy("word").toArrow()
+    model = Model(table["word"].to_pylist(), table["ordinary"].to_numpy().astype(float),
+                  table["toxic"].to_numpy().astype(float), (whole[0], whole[1]),
+                  (whole[2], whole[3]))
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
-def _scored(rows: DataFrame, model: Model, label: str) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
+    def scored(batches):
         for batch in batches:
+            found = shared.value.features(batch.column("text").to_pylist(),
+                                          batch.column("toxic").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(label), pa.array(shared.value.ratios(batch.column("text").to_pylist()))],
-                names=[label, "ratio"])
+                [batch.column("toxic"), *[pa.array(found[:, k]) for k in range(3)]],
+                names=["toxic", "a", "b", "c"])
 
-    return rows.mapInArrow(run, f"{label} int, ratio double")
+    kept = rows.mapInArrow(scored, "toxic int, a double, b double, c double").orderBy(
+        "toxic", "a", "b", "c").toArrow()
+    y = kept["toxic"].to_numpy().astype(float)
+    weights = np.where(y == 1, sizes[1] / y.sum(), sizes[0] / (len(y) - y.sum()))
+    model.fit(np.column_stack([kept[k].to_numpy() for k in "abc"]), y, weights)
+    model._places = model._ratios = None
+    return model
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per row of the table: ``doc_id, held_out, score, predicted``.
 
     Labels are learned only from rows whose crc32(doc_id as text) mod 5 is not 0; a null label or
-    a label of no document is not used, and repeated labels count once. Whole texts are scored; a
-    null text, or one without letters, scores as the training's average text. Without labels of both
-    classes every score is 0. A null ``doc_id`` counts as the empty text. Repeated rows come out
-    each; other columns are not read; an empty table gives no rows.
+    a label of no document is not used, and repeated labels count once. Words are runs of letters,
+    digits and underscores, lower-cased. Whole texts are scored; a null text, or one without words,
+    scores as the training's average text. Without labels of both classes every score is 0. A null
+    ``doc_id`` counts as the empty text. Repeated rows come out each, but train once; other columns
+    are not read; an empty table gives no rows.
     """
     spark = documents.sparkSession
     prepare_workers(spark)

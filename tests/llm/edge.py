@@ -18,7 +18,8 @@ ROWS = [
     (10, "x" * 5_000, "en", "d"),
 ]
 #: Columns with names that operators use themselves.
-EXTRA = ["key", "norm", "n", "fp", "sid", "th", "h1", "pos", "score", "held_out", "n_tokens", "row"]
+EXTRA = ["key", "norm", "n", "fp", "sid", "th", "h1", "pos", "score", "held_out", "n_tokens", "row",
+         "_sid", "_th", "_dropped", "_bitmap", "_id", "_sha"]
 SCHEMA = "doc_id long, text string, lang string, source string, " + ", ".join(
     f"{name} string" for name in EXTRA)
 

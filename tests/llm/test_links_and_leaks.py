@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import re
 import shutil
 
 import pytest
@@ -261,3 +262,36 @@ def test_query_equals_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(n for n, q in QUERIES.items() if not q.sql))
 def test_query_runs(spark, name):
     assert QUERIES[name].build(spark, SF_DIR).count() > 0
+
+
+# Items that the filter of word pairs cannot help with
+
+def test_short_items_are_found_as_exact_copies(spark):
+    texts = {1: "One two THREE four five", 2: "two three one four", 3: "a four-word item, here!",
+             4: "", 5: None, 6: "这 是 一句 话 这是一句话", 7: "one two three"}
+    items = {1: "two three", 2: "four", 3: "four word item here", 4: "missing words", 5: "",
+             6: "这是一句话", 7: "one two three four", 8: "two three"}
+    documents = edge.documents(spark, [(d, t, "en", "s") for d, t in texts.items()])
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = decontamination.contaminated(documents, benchmark).collect()
+    words = lambda t: re.findall(r"\w+", (t or "").lower())
+    want = set()
+    for d, text in texts.items():
+        for item, wanted in items.items():
+            own, look = words(text), words(wanted)
+            for at in range(len(own) - len(look) + 1):
+                if look and own[at:at + len(look)] == look:
+                    want.add((d, item, len(look), 0, at, at + len(look)))
+                    break
+    assert {(r.doc_id, r.item_id, r.item_words, r.distance, r.start_word, r.end_word)
+            for r in found} == want and len(found) == len(want) > 8
+
+
+def test_an_item_of_one_repeated_word(spark):
+    documents = edge.documents(spark, [
+        (1, "no " + "row " * 10 + "yes", "en", "s"), (2, "row " * 4 + "x " + "row " * 5, "en", "s"),
+        (3, "row x " * 9, "en", "s"), (4, "row " * 8, "en", "s")])
+    benchmark = spark.createDataFrame([(1, "row " * 10)], "item_id long, text string")
+    found = {r.doc_id: r.distance for r in decontamination.contaminated(
+        documents, benchmark).collect()}
+    assert found == {1: 0, 2: 1, 4: 2}
