@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from medallion.llm import decontamination, language_id, line_dedup, packing, simhash
 from medallion.llm.catalog import WORD_BPE
-from medallion.llm.common import read_table, written
+from medallion.llm.common import free_name, read_table, written
 
 #: A text is rejected if less of its n-grams than this belong to any one language.
 LEAST_SCORE = 0.4
@@ -38,8 +38,9 @@ def drop_shared_lines(spark: SparkSession, documents: DataFrame, sf_dir: str) ->
 
     A text that had no line cut stays as it is, a blank one too.
     """
-    cut = line_dedup.with_lines_dropped(documents)
-    kept = cut.where((F.col("_dropped") == 0) | (F.btrim("text", F.lit(" \t\n\r")) != ""))
+    dropped = free_name(documents, "_dropped")
+    cut = line_dedup.with_lines_dropped(documents, dropped=dropped)
+    kept = cut.where((F.col(dropped) == 0) | (F.btrim("text", F.lit(" \t\n\r")) != ""))
     return _like(kept, documents)
 
 
