@@ -2,8 +2,10 @@
 
 The model is a trie of byte contexts with counts from all training documents. A byte is coded in the
 longest context that knows it; leaving a context costs its escape probability, and the symbols of
-the context that was left are excluded from the shorter one. Beside it stands a plain unigram
-base over words.
+the context that was left are excluded from the shorter one. The longest contexts count how often a
+byte follows; shorter ones, which only meet what the longer ones do not know, count in how many next
+longer contexts it follows. Every count gives ``DISCOUNT`` of itself to the escape. Beside it stands
+a plain unigram base over words.
 
 Nothing is cut off: every byte string of the training documents counts, and the counts stay in
 tables that grow with the corpus. A window has one log-probability wherever it stands. Those that
@@ -28,8 +30,10 @@ from pyspark.sql import functions as F
 from medallion.llm.chartext import Lookup
 from medallion.llm.common import crc_bucket, id_and_text, prepare_workers, written
 
-ORDER = 4
-NODES = 1_000_000
+ORDER = 5
+#: What each symbol of a context gives to its escape.
+DISCOUNT = 0.3
+NODES = 4_000_000
 WORDS = 1_000_000
 HELD_OUT, HELD_OUT_IS = 7, 2
 #: UTF-8 never holds these two bytes: what stands before a text, and its end.
@@ -39,6 +43,8 @@ CHUNK = 1 << 18
 #: Documents scored at once.
 ROWS = 512
 FLUSH_WORDS = 300_000
+#: Windows counted at once, and different ones that a task holds before it gives its sums away.
+GRAMS, FLUSH_GRAMS = 1 << 21, 1 << 20
 
 
 def words_of(text: str) -> list[bytes]:
@@ -98,50 +104,46 @@ class Trie:
     ``known_logs`` and ``unknown_logs``, in the memory of one process."""
 
     order: int
-    symbol: Lookup    # (order, context, symbol): log count
+    symbol: Lookup    # (order, context, symbol): log of the discounted count
     context: Lookup   # (order, context): row of ``costs``
-    costs: np.ndarray  # log total with escape; log escape; the same two in the next shorter
+    costs: np.ndarray  # log total; log escape probability; the same two in the next shorter
     #                    context, without the symbols of this one
     unseen: float     # log probability of a symbol no context knows
 
     @classmethod
     def build(cls, grams: dict[int, tuple[np.ndarray, np.ndarray]], order: int) -> Trie:
-        """``grams``: counts of the kept byte strings by length, 1 to ``order`` + 1, sorted."""
+        """``grams``: counts of the kept byte strings by length, 1 to ``order`` + 1, sorted. Only
+        those of the longest are read; shorter strings count the kept ones that end in them."""
         symbol_keys, symbol_values, context_keys, costs = [], [], [], []
         below = None
         for k in range(order + 1):
             keys, counts = grams[k + 1]
+            if k < order:
+                longer = _suffix(grams[k + 2][0], k + 1)
+                counts = np.bincount(np.searchsorted(keys, longer), minlength=len(keys))
+                counts = np.maximum(counts, 1)  # no longer string was kept
             counts = counts.astype(float)
             symbol_keys.append(_tagged(keys, k))
-            symbol_values.append(np.log10(counts))
+            symbol_values.append(np.log10(counts - DISCOUNT))
             contexts, place, distinct = np.unique(
                 keys >> np.uint64(8), return_inverse=True, return_counts=True)
-            kept = np.bincount(place, weights=counts, minlength=len(contexts))
-            # A context's own count tells what was cut off; what stands before a text has none.
-            whole = kept.copy()
-            if k:
-                known, number = grams[k]
-                at = np.minimum(np.searchsorted(known, contexts), max(len(known) - 1, 0))
-                if len(known):
-                    same = known[at] == contexts
-                    whole[same] = np.maximum(kept[same], number[at[same]])
-            escape = distinct + (whole - kept)
-            own = np.stack([np.log10(kept + escape), np.log10(escape / (kept + escape))], axis=1)
+            whole = np.bincount(place, weights=counts, minlength=len(contexts))
+            own = np.stack([np.log10(whole), np.log10(DISCOUNT * distinct / whole)], axis=1)
             shorter = np.zeros((len(contexts), 2))
             if k and len(contexts):
-                # The shorter context knows every symbol of this one, and counts it as often.
-                parents, p_kept, p_distinct, p_cut, p_keys, p_counts = below
+                # The shorter context knows every symbol of this one.
+                parents, p_whole, p_distinct, p_keys, p_counts = below
                 parent = np.searchsorted(parents, _suffix(contexts, k - 1))
                 there = np.searchsorted(p_keys, _suffix(keys, k))
                 taken = np.bincount(place, weights=p_counts[there], minlength=len(contexts))
-                left = np.maximum(np.round(p_kept[parent] - taken), 0)
-                out = (p_distinct[parent] - distinct) + p_cut[parent]
-                sure = left <= 0
-                out = np.where(sure, 1.0, out)
-                shorter = np.stack([np.log10(left + out), np.log10(out / (left + out))], axis=1)
+                others = p_distinct[parent] - distinct
+                # Without other symbols leaving is sure.
+                left = np.where(others > 0, p_whole[parent] - taken, 1.0)
+                out = np.where(others > 0, DISCOUNT * others, 1.0)
+                shorter = np.stack([np.log10(left), np.log10(out / left)], axis=1)
             context_keys.append(_tagged(contexts, k))
             costs.append(np.concatenate([own, shorter], axis=1))
-            below = (contexts, kept, distinct, whole - kept, keys, counts)
+            below = (contexts, whole, distinct, keys, counts)
         keys = np.concatenate(context_keys)
         known = len(grams[1][0])
         return cls(order, Lookup(np.concatenate(symbol_keys), np.concatenate(symbol_values)),
@@ -181,11 +183,24 @@ def held_out(doc_id: Column) -> Column:
     return crc_bucket(doc_id, HELD_OUT) == HELD_OUT_IS
 
 
+def _count(parts: list[tuple[np.ndarray, np.ndarray | None]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and their counts; keys without counts count one each."""
+    keys = np.concatenate([keys for keys, _ in parts])
+    if all(n is None for _, n in parts):
+        return np.unique(keys, return_counts=True)
+    counts = np.concatenate([np.ones(len(k), np.int64) if n is None else n for k, n in parts])
+    keys, place = np.unique(keys, return_inverse=True)
+    return keys, np.bincount(place, weights=counts, minlength=len(keys)).astype(np.int64)
+
+
 def _gather(order: int):
-    """Counts of words and of byte windows, added up within a task. Exactly one of both is set."""
+    """Counts of words and of byte windows, added up within a task as far as they fit. Exactly one
+    of both is set."""
     def run(batches):
         words: Counter = Counter()
-        sums: tuple[np.ndarray, np.ndarray] | None = None
+        raw: list[np.ndarray] = []
+        waiting = 0
+        sums: list[tuple[np.ndarray, np.ndarray]] = []
 
         def word_rows():
             keys, counts = list(words), list(words.values())
@@ -196,29 +211,40 @@ def _gather(order: int):
                     names=["word", "gram", "n"])
             words.clear()
 
+        def gram_rows():
+            for keys, counts in sums:
+                for at in range(0, len(keys), 50_000):
+                    k, c = keys[at:at + 50_000], counts[at:at + 50_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.nulls(len(k), pa.binary()), pa.array(k.view(np.int64)), pa.array(c)],
+                        names=["word", "gram", "n"])
+            sums.clear()
+
+        def add():
+            nonlocal waiting
+            if raw:
+                sums[:] = [_count([*sums, _count([(k, None) for k in raw])])]
+            raw.clear()
+            waiting = 0
+
         for batch in batches:
             joined = []
             for text in batch.column("text"):
                 own = words_of(text.as_py())
                 words.update(own)
                 joined.append(b" ".join(own))
+                if len(words) >= FLUSH_WORDS:
+                    yield from word_rows()
             for _, keys in windows(joined, order):
-                found, counts = np.unique(keys, return_counts=True)
-                if sums is not None:
-                    found = np.concatenate([sums[0], found])
-                    counts = np.concatenate([sums[1], counts])
-                    found, place = np.unique(found, return_inverse=True)
-                    counts = np.bincount(place, weights=counts).astype(np.int64)
-                sums = found, counts
-            if len(words) >= FLUSH_WORDS:
-                yield from word_rows()
+                raw.append(keys)
+                waiting += len(keys)
+                if waiting >= GRAMS:
+                    add()
+                    if len(sums[0][0]) >= FLUSH_GRAMS:
+                        yield from gram_rows()
+        add()
         yield from word_rows()
-        if sums is not None:
-            for at in range(0, len(sums[0]), 50_000):
-                keys, counts = sums[0][at:at + 50_000], sums[1][at:at + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(keys), pa.binary()), pa.array(keys.view(np.int64)),
-                     pa.array(counts)], names=["word", "gram", "n"])
+        yield from gram_rows()
     return run
 
 
@@ -230,35 +256,45 @@ def known_logs(grams: DataFrame) -> DataFrame:
     """``gram, n, logs`` of the windows of training: each is coded in its whole context. A context
     has at most SYMBOLS windows."""
     context = Window.partitionBy(F.shiftrightunsigned("gram", 8))
-    return grams.select("gram", "n", (F.log10("n") - F.log10(
-        F.sum("n").over(context) + F.count("*").over(context))).alias("logs"))
+    return grams.select("gram", "n", (F.log10(F.col("n") - DISCOUNT) - F.log10(
+        F.sum("n").over(context))).alias("logs"))
+
+
+def levels(grams: DataFrame, order: int) -> dict[int, DataFrame]:
+    """``gram, n`` per order: the byte strings of that context and a symbol. Below ``order`` a string
+    counts the strings one byte longer that end in it."""
+    found = {order: grams}
+    for k in range(order - 1, -1, -1):
+        found[k] = written(
+            found[k + 1].groupBy(F.col("gram").bitwiseAND(_mask(k + 1)).alias("gram")).agg(
+                F.count("*").alias("n")), f"lm-order-{k}")
+    return found
 
 
 def _contexts(grams: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
     """``context, symbols``: the counts of what follows the wanted contexts of ``k`` bytes."""
-    context = F.shiftrightunsigned("gram", 8).bitwiseAND(_mask(k)).alias("context")
+    context = F.shiftrightunsigned("gram", 8).alias("context")
     symbol = F.col("gram").bitwiseAND(_mask(1)).alias("symbol")
-    # Of short contexts there are few, and many windows each.
+    # Of short contexts there are few.
     wanted = F.broadcast(wanted) if k <= 2 else wanted
     return grams.select(context, symbol, "n").join(wanted, "context", "left_semi").groupBy(
-        "context", "symbol").agg(F.sum("n").alias("n")).groupBy("context").agg(
-        F.map_from_entries(F.collect_list(F.struct("symbol", "n"))).alias("symbols"))
+        "context").agg(F.map_from_entries(F.collect_list(F.struct("symbol", "n"))).alias("symbols"))
 
 
-def unknown_logs(unknown: DataFrame, grams: DataFrame, order: int) -> DataFrame:
+def unknown_logs(unknown: DataFrame, grams: dict[int, DataFrame], order: int) -> DataFrame:
     """``gram, logs`` of the distinct windows ``gram`` that training never saw.
 
     From the longest context down: one that training does not know costs nothing, one that does not
     know the symbol its escape. The next shorter one then leaves out the symbols of that one, all of
-    which it knows.
+    which it knows. ``grams`` are the ``levels`` of training.
     """
     symbol = F.col("gram").bitwiseAND(_mask(1))
-    known = grams.select(symbol).distinct().count()
+    known = grams[0].count()
     rows = unknown.select("gram", F.lit(0.0).alias("logs"), F.lit(False).alias("coded"),
                           F.lit(None).cast("map<bigint, bigint>").alias("left"))
     for k in range(order, -1, -1):
         context = F.shiftrightunsigned("gram", 8).bitwiseAND(_mask(k)).alias("context")
-        found = _contexts(grams, k, unknown.select(context).distinct())
+        found = _contexts(grams[k], k, unknown.select(context).distinct())
         rows = rows.withColumn("context", context).join(
             F.broadcast(found) if k < 2 else found, "context", "left")  # 257 contexts at most
         count = F.try_element_at("symbols", symbol)
@@ -271,8 +307,8 @@ def unknown_logs(unknown: DataFrame, grams: DataFrame, order: int) -> DataFrame:
             (F.size("symbols") - F.when(F.col("left").isNull(), 0).otherwise(F.size("left"))).alias(
                 "others"))
         # Without other symbols leaving is sure.
-        escape = F.when(F.col("rest") > 0, F.col("others")).otherwise(1)
-        cost = F.log10(F.coalesce("count", escape)) - F.log10(F.col("rest") + escape)
+        weight = F.coalesce(F.col("count") - DISCOUNT, F.col("others") * DISCOUNT)
+        cost = F.when(F.col("others") > 0, F.log10(weight) - F.log10("rest")).otherwise(0.0)
         rows = rows.select(
             "gram",
             (F.col("logs") + F.when(F.col("coded") | F.col("symbols").isNull(), 0.0).otherwise(
@@ -390,7 +426,8 @@ def score_documents(documents: DataFrame, order: int = ORDER, nodes: int = NODES
         (F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("logs"))
     asked = scored.select("row", F.inline("windows"))
     unknown = written(asked.select("gram").distinct().join(grams, "gram", "left_anti"), "lm-unknown")
-    all_logs = known_windows.select("gram", "logs").union(unknown_logs(unknown, grams, order))
+    all_logs = known_windows.select("gram", "logs").union(
+        unknown_logs(unknown, levels(grams, order), order))
     strange = asked.join(all_logs, "gram").select("row", (F.col("n") * F.col("logs")).alias("logs"))
     nothing = F.lit(None)
     per_row = rare.withColumn("window_logs", nothing.cast("double")).union(strange.select(
