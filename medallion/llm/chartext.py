@@ -10,7 +10,8 @@ import numpy as np
 #: Characters handled at once. A longer text is read whole, in stretches of this length; n-grams
 #: do not reach across their borders.
 STRETCH = 1 << 18
-#: Letters beyond the first 65,536 code points share the numbers of those, modulo 65,536.
+#: Letters beyond the first 65,536 code points share the numbers of those, modulo 65,536; one that
+#: would be a blank or nothing takes the number behind it.
 BITS, MOST = 16, 4
 SPACE = 32
 
@@ -21,7 +22,8 @@ def _numbers() -> np.ndarray:
     numbers = np.full(0x110000, SPACE, np.uint64)
     for point in range(0x110000):
         if chr(point).isalpha():
-            numbers[point] = point & 0xFFFF or 1
+            number = point & 0xFFFF
+            numbers[point] = number if number not in (0, SPACE) else number + 1
     return numbers
 
 

@@ -532,3 +532,15 @@ def test_held_out_text_scores_above_the_unigram_base():
              for n in range(1, order + 2)}
     score = lm_scoring.Trie.build(grams, order).score([b" ".join(w) for w in rest]).sum()
     assert score > 0.98 * base
+
+
+def test_no_letter_counts_as_a_blank(spark):
+    from medallion.llm import chartext
+
+    assert all(number != chartext.SPACE for point in (0x10020, 0x20000, 0x20020, 0x2A020, 0x30020)
+               if chr(point).isalpha() for number in chartext.letters(chr(point))[1:-1])
+    assert len(chartext.letters(chr(0x20020) * 3)) == 5
+    rows = [(i, "the and that", "en", "s") for i in range(20)] + [
+        (i, chr(0x20020) * 9, "zh", "s") for i in range(20, 40)]
+    found = {r.doc_id: r.lang_pred for r in language_id.identify(edge.documents(spark, rows)).collect()}
+    assert {found[i] for i in range(20, 40)} == {"zh"}
