@@ -21,7 +21,9 @@ from medallion.session import scratch_folder
 from medallion.sources.layout import read_or_empty
 
 CUT = "1998-01-01 00:00:00"
-FIRST, SECOND = "2026-01-01 00:00:00", "2026-01-02 00:00:00"
+FIRST, SECOND, THIRD = "2026-01-01 00:00:00", "2026-01-02 00:00:00", "2026-01-03 00:00:00"
+#: The rows loaded between these come after all others, as a late batch.
+LATE_FROM, LATE_UPTO = "1996-01-01 00:00:00", CUT
 
 
 def flagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +70,24 @@ def _written(name: str):
     return build
 
 
+def _late(name: str):
+    """Old rows, new rows, and then the rows between them, through a written table: what is older
+    than the current row of its key changes nothing."""
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        dim, flagged = DIMENSIONS[name], flagged_table(spark, sf_dir)
+        table = dim.table(scratch_folder(spark, f"late-{name}"), buckets=8)
+        order, at = full_order(list(dim.columns)), F.col("ingested_at")
+        start, end = (F.lit(c).cast("timestamp_ntz") for c in (LATE_FROM, LATE_UPTO))
+        batches = ((at < start, FIRST, "last_batch"), (at >= end, SECOND, "last_batch"),
+                   ((at >= start) & (at < end), THIRD, "newer_wins"))
+        for batch_id, (span, now, policy) in enumerate(batches):
+            table.apply(spark, batch_id, dim.source(flagged.where(span), order),
+                        lambda current, staged, now=now, policy=policy: dim.merged(
+                            current, staged, now, policy))
+        return table.read(spark)
+    return build
+
+
 def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze as a lake table: written once, read with its declared schema."""
     folder = scratch_folder(spark, "bronze")
@@ -103,6 +123,42 @@ def _history_sql(keys, columns, order, clean, compare, stamp_closed) -> str:
     )
 
 
+def _late_parts(keys, columns, order, clean) -> list[tuple[str, str]]:
+    spans = (f"ingested_at < TIMESTAMP '{LATE_FROM}'", f"ingested_at >= TIMESTAMP '{LATE_UPTO}'",
+             f"ingested_at >= TIMESTAMP '{LATE_FROM}' AND ingested_at < TIMESTAMP '{LATE_UPTO}'")
+    return [(f"b{n}", newest(f"flagged WHERE {clean} AND {span}", keys, columns, order))
+            for n, span in enumerate(spans)]
+
+
+def _in_time(held: str, key: str) -> tuple[str, str]:
+    return "b2_in_time", f"""SELECT s.* FROM b2 s LEFT JOIN {held} t ON t.{key} = s.{key}
+        WHERE t.{key} IS NULL OR s.ingested_at > t.ingested_at"""
+
+
+def _late_reviews_1() -> str:
+    keys, data = ["review_id"], [*REVIEW_DATA, "ingested_at"]
+
+    def step(held, batch, now):
+        return current_step(held, batch, keys, REVIEW_ROW, data, any_distinct(data),
+                            ("_dlt_updated_at", now))
+    return ctes(
+        *FLAGGED_CTES, *_late_parts(keys, REVIEW_ROW, REVIEW_ORDER_SQL, REVIEWS),
+        ("t0", f"SELECT *, TIMESTAMP '{FIRST}' AS _dlt_updated_at FROM b0"),
+        ("t1", step("t0", "b1", SECOND)), _in_time("t1", "review_id"),
+        final=step("t1", "b2_in_time", THIRD))
+
+
+def _late_reviews_2() -> str:
+    keys = ["review_id"]
+    return ctes(
+        *FLAGGED_CTES, *_late_parts(keys, REVIEW_ROW, REVIEW_ORDER_SQL, REVIEWS),
+        ("h0", opened("b0", REVIEW_ROW, FIRST)),
+        ("h1", history_step("h0", "b1", keys, REVIEW_ROW, REVIEW_DATA, SECOND, True)),
+        ("held", "SELECT * FROM h1 WHERE is_current"), _in_time("held", "review_id"),
+        ("h2", history_step("h1", "b2_in_time", keys, REVIEW_ROW, REVIEW_DATA, THIRD, True)),
+        final="SELECT * FROM h2")
+
+
 _REVIEWS_1 = _current_sql(["review_id"], REVIEW_ROW, REVIEW_ORDER_SQL, REVIEWS,
                           [*REVIEW_DATA, "ingested_at"], [*REVIEW_DATA, "ingested_at"])
 _PLAYERS_1 = _current_sql(["author_steam_id"], PLAYER_ROW, PLAYER_ORDER_SQL, PLAYERS,
@@ -120,6 +176,8 @@ QUERIES = {
     "written_reviews_scd2": Query(_written("reviews_scd2"), _REVIEWS_2),
     "written_players_scd1": Query(_written("players_scd1"), _PLAYERS_1),
     "written_players_scd2": Query(_written("players_scd2"), _PLAYERS_2),
+    "late_reviews_scd1": Query(_late("reviews_scd1"), _late_reviews_1()),
+    "late_reviews_scd2": Query(_late("reviews_scd2"), _late_reviews_2()),
     "bronze_table": Query(bronze_table, ctes(FLAGGED_CTES[0], final="""SELECT app_id,
         count(*) AS n_rows, max(ingested_at) AS last_ingested_at FROM bronze GROUP BY app_id""")),
 }

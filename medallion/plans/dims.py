@@ -76,7 +76,8 @@ class Dimension:
         """``late_policy``: ``last_batch`` takes any later batch, ``newer_wins`` only newer loads."""
         if isinstance(self.merge, HistoryMerge):
             if late_policy != "last_batch":
-                source = newer_than_current(target, source, self.merge.keys)
+                # Closed versions are older than the current one and say nothing about lateness.
+                source = newer_than_current(target.where("is_current"), source, self.merge.keys)
             return merge_history(target, source, self.merge, now)
         merge = self.merge
         if late_policy != "last_batch":

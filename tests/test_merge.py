@@ -187,3 +187,13 @@ def test_dimension_quirks(spark):
     target = players.source(early).withColumn("_dlt_updated_at", F.lit(T1).cast("timestamp_ntz"))
     row = players.merged(target, players.source(dim_batch(spark, other, at=T2)), T2).first()
     assert (row["review_id"], row["author_playtime_forever_mins"]) == ("900", 700)
+
+
+def test_late_row_between_a_closed_and_the_current_version_is_left_out(spark):
+    dim = DIMENSIONS["reviews_scd2"]
+    opened_at_t1 = open_versions(dim.source(dim_batch(spark, review(votes_up=1), at=T1)), dim.merge, T1)
+    held = dim.merged(opened_at_t1, dim.source(dim_batch(spark, review(votes_up=9), at=T3)), T3)
+    late = dim.source(dim_batch(spark, review(votes_up=5), at=T2))
+    assert held.count() == 2
+    after = dim.merged(held, late, T3, late_policy="newer_wins")
+    assert sorted(map(str, after.collect())) == sorted(map(str, held.collect()))
