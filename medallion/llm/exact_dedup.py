@@ -1,127 +1,175 @@
 """Exact dedup through an extendible-hash index on shared files; DataFrame functions only.
 
-The key of a text is the 64-bit hash of its normalised form. Copies are brought together by key
-and compared byte by byte, in an aggregation over (key, whole text): each task folds its own copies
-first, so a text that makes up a third of the table is one row per task. What is left, one entry
-per different text, is the index. Its directory starts with one bucket and doubles as long as a
-bucket holds more than ``capacity`` keys; only overfull buckets are split. Each bucket is a range
-of keys owned by one task, which chains the entries whose keys collide and writes them as files to
-the shared folder. Last, the documents look their entry up.
+The key of a text is the 64-bit hash of its normalised form. The directory starts with one bucket
+and doubles as long as a bucket holds more than ``capacity`` keys or too many bytes; only overfull
+buckets are split. Each bucket is a range of keys with one owner task, to which the documents of the
+range send their raw texts. The owner sorts them and compares neighbours byte by byte: equal texts
+share a link of their key's chain, and every document gets back (bucket, key, link). A key with many
+rows or bytes, such as a text that makes up a third of the table, is dealt to several owners by a
+salt; their chains, one text per link, are then merged by the same comparison.
+
+The index on shared files holds one entry per link, with the largest id and the number of rows. A
+document is answered by the entry its link names; no digest of a text takes part in that.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.llm.common import ascii_lower, free_name, id_and_text, written
 
 CAPACITY = 65_536
-#: Directory bits added per round: a histogram has at most two to this power cells per bucket.
+#: Bytes of text a bucket holds before it is split.
+BUCKET_BYTES = 16 << 20
+#: Rows of one key that go to one owner; beyond them, or beyond ``BUCKET_BYTES``, a key is salted.
+OWNER_ROWS = 4_096
+#: Buckets, and salted keys, that a table has at most: the three limits above rise with the table
+#: so far that the routing tables, which are broadcast, stay below some 50 MB.
+ROUTES = 1 << 20
+#: Directory bits added per round.
 STEP = 12
+#: What names a text: where its owner put it, and its place in the merged chain of its key.
+LINK = ["bucket", "key", "salt", "link"]
+ENTRY = ["bucket", "key", "chain"]
 
 
-def _prefix(key, depth: int):
+def _prefix(key, depth):
     """The first ``depth`` bits of the key, as a number."""
-    return F.shiftrightunsigned(key, 64 - depth) if depth else F.lit(0).cast("long")
+    if isinstance(depth, int):
+        return F.shiftrightunsigned(key, 64 - depth) if depth else F.lit(0).cast("long")
+    return F.when(depth == 0, F.lit(0).cast("long")).otherwise(
+        F.call_function("shiftrightunsigned", key, (F.lit(64) - depth).cast("int")))
 
 
-def split_buckets(counts: dict[int, int], depth: int, start: int, prefix: int,
-                  capacity: int) -> Iterable[tuple[int, int, int]]:
-    """Leaves below bucket ``prefix`` of depth ``start``: ``(depth, prefix, keys)``.
+def directory(keys: DataFrame, capacity: int = CAPACITY,
+              bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """The directory as a written table: ``depth, prefix, bucket``, one row per bucket.
 
-    ``counts`` holds the keys per cell of ``depth`` bits. A bucket over capacity splits in two; one
-    that is still overfull at ``depth`` is given back as it is, for the next doubling.
-    """
-    level = {cell: n for cell, n in counts.items() if cell >> (depth - start) == prefix}
-    sums = {depth: level}
-    for d in range(depth - 1, start - 1, -1):
-        above: dict[int, int] = {}
-        for cell, n in sums[d + 1].items():
-            above[cell >> 1] = above.get(cell >> 1, 0) + n
-        sums[d] = above
-    pending = [(start, prefix)]
-    while pending:
-        d, p = pending.pop()
-        n = sums[d].get(p, 0)
-        if n <= capacity or d == depth:
-            yield d, p, n
-        else:
-            pending += [(d + 1, 2 * p + 1), (d + 1, 2 * p)]
-
-
-def directory(keys: DataFrame, capacity: int = CAPACITY) -> list[tuple[int, int]]:
-    """Buckets ``(depth, prefix)`` in key order. ``keys`` holds each entry's ``key``.
-
-    The driver sees counts of cells, not keys: at most 2**STEP per overfull bucket and round, and
-    there is about one bucket per ``capacity`` keys. A bucket whose keys are all equal is not split.
+    ``keys`` holds each ``key`` once, with the ``bytes`` one owner gets of it. A bucket is named by
+    the first key of its range, as a signed number. One whose keys are all equal is not split.
+
+    Each round looks ``STEP`` bits further into the overfull buckets: cells are counted and summed
+    up to the buckets above them in Spark, and those that fit below one that does not are done. The
+    driver sees one number per round.
     """
-    leaves, overfull, start = [], [0], 0
-    while overfull:
+    spark = keys.sparkSession
+    sums = (F.sum("n").alias("n"), F.sum("bytes").alias("bytes"),
+            F.min("a").alias("a"), F.max("b").alias("b"))
+    start, leaves = 0, None
+    overfull = spark.range(1).select(F.lit(0).cast("long").alias("prefix"))
+    while True:
         depth = min(start + STEP, 64)
-        cells = keys
-        if start:
-            cells = cells.where(_prefix(F.col("key"), start).isin(overfull))
-        found = cells.groupBy(_prefix(F.col("key"), depth).alias("cell")).agg(
-            F.count("*").alias("n"), F.min("key").alias("a"), F.max("key").alias("b")).collect()
-        counts = {row.cell: row.n for row in found}
-        single = {row.cell for row in found if row.a == row.b}
-        following = []
-        for prefix in overfull:
-            for d, p, n in split_buckets(counts, depth, start, prefix, capacity):
-                if n > capacity and d < 64 and p not in single:
-                    following.append(p)
-                else:
-                    leaves.append((d, p))
-        overfull, start = following, depth
-    return sorted(leaves, key=lambda leaf: leaf[1] << (64 - leaf[0]))
-
-
-def _slots(spark, leaves: list[tuple[int, int]]) -> DataFrame:
-    """The directory as a table ``depth, prefix, bucket``, one row per bucket."""
-    rows = [(d, p, number) for number, (d, p) in enumerate(leaves)]
-    return spark.createDataFrame(rows, "depth int, prefix long, bucket int")
-
-
-def build_index(documents: DataFrame, capacity: int = CAPACITY,
-                key_bits: int = 64) -> tuple[DataFrame, DataFrame]:
-    """``(log, index)``, both on shared files.
-
-    ``log``: ``doc_id, key, text_sha256`` per row of the table. ``index``: ``bucket, key, chain,
-    text_sha256, keep_id, group_size`` per different text; ``chain`` counts the texts that share a
-    key. Fewer ``key_bits`` make keys collide, for tests.
+        inside = keys.withColumn("prefix", _prefix(F.col("key"), start)).join(
+            overfull, "prefix", "left_semi")
+        cells = inside.groupBy(_prefix(F.col("key"), depth).alias("cell")).agg(
+            F.count("*").alias("n"), F.sum("bytes").alias("bytes"),
+            F.min("key").alias("a"), F.max("key").alias("b"))
+        # The first round starts with the whole table as a bucket, later ones below known buckets.
+        levels = F.explode(F.sequence(F.lit(start + 1 if start else 0), F.lit(depth)))
+        above = F.when(F.col("depth") == 0, F.lit(0).cast("long")).otherwise(F.call_function(
+            "shiftrightunsigned", F.col("cell"), F.lit(depth) - F.col("depth")))
+        full = ((F.col("n") > capacity) | (F.col("bytes") > bucket_bytes)) & (
+            F.col("a") != F.col("b"))
+        nodes = written(
+            cells.withColumn("depth", levels).groupBy("depth", above.alias("prefix")).agg(*sums)
+            .select("depth", "prefix", full.alias("full")), "dedup-nodes")
+        split = nodes.where("full").select(
+            (F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
+        top = nodes.where((F.col("depth") == (start + 1 if start else 0)) & ~F.col("full"))
+        below = nodes.where(~F.col("full") & (F.col("depth") > 0)).withColumn(
+            "parent", F.call_function("shiftrightunsigned", F.col("prefix"), F.lit(1)))
+        done = top.select("depth", "prefix").unionByName(
+            below.join(split, ["depth", "parent"], "left_semi").select("depth", "prefix"))
+        leaves = done if leaves is None else leaves.unionByName(done)
+        overfull = nodes.where(F.col("full") & (F.col("depth") == depth)).select("prefix")
+        if depth == 64 or not overfull.limit(1).count():
+            break
+        start = depth
+    bucket = F.when(F.col("depth") == 0, F.lit(0).cast("long")).otherwise(
+        F.call_function("shiftleft", F.col("prefix"), F.lit(64) - F.col("depth")))
+    return written(leaves.select("depth", "prefix", bucket.alias("bucket")), "dedup-directory")
+
+
+def _routed(rows: DataFrame, slots: DataFrame) -> DataFrame:
+    """``rows`` with the ``bucket`` of their key: the one whose prefix it starts with."""
+    depths = sorted(r.depth for r in slots.select("depth").distinct().collect())
+    found = []
+    for depth in depths:
+        name = f"bucket_{depth}"
+        level = slots.where(F.col("depth") == depth).select(
+            F.col("prefix").alias(f"prefix_{depth}"), F.col("bucket").alias(name))
+        rows = rows.join(F.broadcast(level),
+                         _prefix(F.col("key"), depth) == F.col(f"prefix_{depth}"), "left")
+        found.append(F.col(name))
+    bucket = F.coalesce(*found) if found else F.lit(0).cast("long")
+    return rows.withColumn("bucket", bucket).drop(
+        *(f"{part}_{depth}" for part in ("prefix", "bucket") for depth in depths))
+
+
+def build_index(documents: DataFrame, capacity: int = CAPACITY, key_bits: int = 64,
+                bucket_bytes: int = BUCKET_BYTES,
+                owner_rows: int = OWNER_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(log, links, index)``, all on shared files.
+
+    ``log``: ``doc_id, bucket, key, salt, salted, link`` per row of the table, as its owner found
+    it; the first row of a link holds the digest and, of a salted key, the text. ``index``:
+    ``bucket, key, chain, salted, keep_id, group_size, text_sha256`` per different text; ``chain``
+    counts the texts that share a key. ``links``: the ``chain`` of each ``salt, link`` of a salted
+    key; other keys have one owner, whose links are the chain. Fewer ``key_bits`` make keys collide,
+    for tests.
     """
     norm = ascii_lower(F.col("text"))
     key = F.xxhash64("norm")
     if key_bits < 64:
         key = F.shiftleft(F.shiftrightunsigned(key, 64 - key_bits), 64 - key_bits)
     rows = id_and_text(documents).select("doc_id", norm.alias("norm")).withColumn("key", key)
-    log = written(rows.select("doc_id", "key", F.sha2("norm", 256).alias("text_sha256")),
-                  "dedup-log")
-    entries = written(
-        rows.groupBy("key", "norm")
-        .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-        .select("key", F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size"),
-        "dedup-entries")
-    leaves = directory(entries.select("key"), capacity)
-    depths = sorted({d for d, _ in leaves})
-    # A key belongs to the one bucket whose prefix it starts with: try every depth in use.
-    tried = entries.withColumn("depth", F.explode(F.array(*map(F.lit, depths))))
-    prefix = F.lit(0).cast("long")
-    for d in depths:
-        prefix = F.when(F.col("depth") == d, _prefix(F.col("key"), d)).otherwise(prefix)
-    owned = tried.withColumn("prefix", prefix).join(
-        _slots(documents.sparkSession, leaves), ["depth", "prefix"])
-    chain = Window.partitionBy("bucket", "key").orderBy("text_sha256")
-    index = owned.repartition("bucket").withColumn("chain", F.row_number().over(chain)).select(
-        "bucket", "key", "chain", "text_sha256", "keep_id", "group_size")
-    return log, written(index.sortWithinPartitions("bucket", "key", "chain"), "dedup-index")
-
-
-def exact_dedup(documents: DataFrame, capacity: int = CAPACITY,
-                key_bits: int = 64) -> DataFrame:
+    counted = written(
+        rows.groupBy("key").agg(F.count("*").alias("n"),
+                                F.sum(F.octet_length("norm")).alias("bytes")), "dedup-keys")
+    total = counted.agg(F.count("*").alias("keys"), F.sum("n").alias("n"),
+                        F.sum("bytes").alias("bytes")).first()
+    share = ROUTES // 2
+    capacity = max(capacity, (total["keys"] or 0) // share)
+    bucket_bytes = max(bucket_bytes, (total["bytes"] or 0) // share)
+    owner_rows = max(owner_rows, (total["n"] or 0) // share)
+    salts = F.ceil(F.greatest(F.col("n") / owner_rows, F.col("bytes") / bucket_bytes, F.lit(1.0)))
+    # A single text beyond the limit stays one piece: no more salts than rows.
+    salts = F.least(salts.cast("long"), F.col("n"))
+    counted = counted.withColumn("salts", salts)
+    slots = directory(counted.select("key", (F.col("bytes") / F.col("salts")).alias("bytes")),
+                      capacity, bucket_bytes)
+    hot = counted.where("salts > 1").select("key", "salts")
+    # Numbered by place in the scan, so that rows of one id, or of none, are dealt out as well.
+    dealt = _routed(rows.withColumn("place", F.monotonically_increasing_id()), slots).join(
+        F.broadcast(hot), "key", "left")
+    salt = F.when(F.col("salts").isNull(), F.lit(0).cast("long")).otherwise(
+        F.pmod(F.xxhash64("place"), F.col("salts")))
+    owned = dealt.select("doc_id", "norm", "key", "bucket", salt.alias("salt"),
+                         F.col("salts").isNotNull().alias("salted")).repartition("bucket", "salt")
+    within = Window.partitionBy("bucket", "key", "salt").orderBy("norm")
+    linked = owned.withColumn("link", F.dense_rank().over(within)).withColumn(
+        "first", ~F.col("norm").eqNullSafe(F.lag("norm").over(within)))
+    log = written(linked.select(
+        "doc_id", "bucket", "key", "salt", "salted", "link",
+        F.when(F.col("first"), F.sha2("norm", 256)).alias("text_sha256"),
+        F.when(F.col("first") & F.col("salted"), F.col("norm")).alias("norm")), "dedup-log")
+    # Owners of one salted key have a chain each: the same text gets the same place in one chain.
+    merged = Window.partitionBy("bucket", "key").orderBy("norm")
+    links = written(log.where("salted AND norm IS NOT NULL").select(
+        *LINK, F.dense_rank().over(merged).alias("chain")), "dedup-links")
+    log = log.drop("norm")
+    plain = log.where("NOT salted").withColumn("chain", F.col("link"))
+    index = plain.unionByName(log.where("salted").join(links, LINK)).groupBy(
+        *ENTRY, "salted").agg(
+            F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"),
+            F.max("text_sha256").alias("text_sha256"))
+    return log, links, written(
+        index.repartition("bucket").sortWithinPartitions(*ENTRY), "dedup-index")
+
+
+def exact_dedup(documents: DataFrame, capacity: int = CAPACITY, key_bits: int = 64,
+                bucket_bytes: int = BUCKET_BYTES, owner_rows: int = OWNER_ROWS) -> DataFrame:
     """One row per row of the table: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Texts are equal when identical after lower-casing A-Z; a null text counts as empty. Of equal
@@ -129,16 +177,22 @@ def exact_dedup(documents: DataFrame, capacity: int = CAPACITY,
     group, and stays only if no row of the group has an id. A row repeated with its id stays or
     goes as often as it is there. Other columns are not read. An empty table gives no rows.
     """
-    log, index = build_index(documents, capacity, key_bits)
+    log, links, index = build_index(documents, capacity, key_bits, bucket_bytes, owner_rows)
     # Only copies need the lookup: a text that is alone is its own group.
-    copies = index.where("group_size > 1").select("key", "text_sha256", "keep_id", "group_size")
-    found = log.join(copies, ["key", "text_sha256"], "left")
+    copies = index.where("group_size > 1").withColumnRenamed("text_sha256", "sha")
+    of_owner = copies.where("NOT salted").withColumn("salt", F.lit(0).cast("long")).withColumn(
+        "link", F.col("chain"))
+    answers = of_owner.unionByName(copies.where("salted").join(links, ENTRY)).select(
+        *LINK, "keep_id", "group_size", "sha")
+    # No more than the rows of one owner meet one answer.
+    found = log.join(answers, LINK, "left")
     alone = F.col("group_size").isNull()
     keep_id = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
     return found.select(
         "doc_id", keep_id.alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256")
+        F.col("doc_id").eqNullSafe(keep_id).alias("kept"),
+        F.coalesce("sha", "text_sha256").alias("text_sha256"))
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:

@@ -130,21 +130,90 @@ def copies(rows):
     return Counter(out)
 
 
-@pytest.mark.parametrize("key_bits", [64, 3])
-def test_exact_dedup(spark, key_bits):
-    """With three bits most keys collide, so chains and overfull buckets are walked."""
-    found = exact_dedup.exact_dedup(edge.documents(spark), capacity=2, key_bits=key_bits)
+@pytest.mark.parametrize("key_bits", [64, 3, 1])
+@pytest.mark.parametrize("owner_rows", [4_096, 1])
+def test_exact_dedup(spark, key_bits, owner_rows):
+    """Few bits make most keys collide; one row an owner salts every copy."""
+    found = exact_dedup.exact_dedup(
+        edge.documents(spark), capacity=2, key_bits=key_bits, owner_rows=owner_rows)
     assert bag(found.collect()) == copies(edge.ROWS)
     assert exact_dedup.exact_dedup(edge.empty(spark)).count() == 0
 
 
+def test_copies_of_one_text_are_dealt_to_several_owners(spark):
+    rows = [(i % 50 or None, "the same TEXT" if i % 3 else f"text {i % 40}", "en", "s")
+            for i in range(600)]
+    table = edge.documents(spark, rows).repartition(5)
+    log, links, index = exact_dedup.build_index(table, capacity=8, key_bits=4, owner_rows=20)
+    assert max(Counter((r.key, r.salt) for r in log.collect()).values()) <= 45
+    assert links.count() > index.count()
+    found = exact_dedup.exact_dedup(table, capacity=8, key_bits=4, owner_rows=20)
+    assert bag(found.collect()) == copies(rows)
+
+
+def test_the_index_answers(spark, monkeypatch):
+    """What the files of the index say is what comes out."""
+    build = exact_dedup.build_index
+
+    def changed(*arguments):
+        log, links, index = build(*arguments)
+        return log, links, index.withColumn("keep_id", index.keep_id + 1_000)
+
+    monkeypatch.setattr(exact_dedup, "build_index", changed)
+    found = exact_dedup.exact_dedup(edge.documents(spark)).where("group_size > 1")
+    assert found.count() and not found.where("keep_id < 1000").count()
+
+
 def test_directory_splits_only_overfull_buckets(spark):
-    log, index = exact_dedup.build_index(edge.documents(spark), capacity=2, key_bits=64)
+    log, _, index = exact_dedup.build_index(edge.documents(spark), capacity=2)
     sizes = Counter(r.bucket for r in index.collect())
     assert max(sizes.values()) <= 2
     assert log.count() == len(edge.ROWS)
 
 
+def plain_directory(keys, capacity, depth=0, prefix=0):
+    """The buckets by plain recursion over the bits; ``keys`` as unsigned numbers."""
+    if not keys and depth:
+        return set()
+    if len(keys) <= capacity or len(set(keys)) == 1 or depth == 64:
+        return {(depth, prefix)}
+    side = [[], []]
+    for key in keys:
+        side[key >> (63 - depth) & 1].append(key)
+    return {leaf for bit in (0, 1) for leaf in
+            plain_directory(side[bit], capacity, depth + 1, 2 * prefix + bit)}
+
+
+def test_directory_in_several_rounds(spark, monkeypatch):
+    """Keys that share their first bits need more rounds; the driver sees a number per round."""
+    random = np.random.default_rng(7)
+    keys = [int(k) for k in random.integers(0, 1 << 63, 300, dtype=np.int64)]
+    keys += [(0xABC << 52) | (0x123 << 40) | int(k) for k in random.integers(0, 1 << 40, 60)]
+    keys += [(1 << 64) - 1, (1 << 64) - 2, (1 << 64) - 3]
+    signed = [k - (1 << 64) if k >> 63 else k for k in keys]
+    table = spark.createDataFrame([(k, 1.0) for k in signed], "key long, bytes double")
+    frame, collected = type(table), []
+    plain_collect = frame.collect
+
+    def counting(self):
+        rows = plain_collect(self)
+        collected.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(frame, "collect", counting)
+    slots = exact_dedup.directory(table, capacity=2, bucket_bytes=1 << 40)
+    assert sum(collected) == 0
+    monkeypatch.undo()
+    rows = slots.collect()
+    unsigned = {(r.depth, r.prefix % (1 << 64)) for r in rows}
+    assert unsigned == plain_directory(keys, 2)
+    assert max(r.depth for r in rows) > 2 * exact_dedup.STEP
+    assert len({r.bucket for r in rows}) == len(rows)
+    heavy = spark.createDataFrame([(1, 10.0), (-1, 10.0)], "key long, bytes double")
+    assert exact_dedup.directory(heavy, 100, 30).count() == 1
+    assert exact_dedup.directory(heavy, 100, 15).count() == 2
+
+
 def test_deduplicated_keeps_columns_and_one_row(spark):
     kept = exact_dedup.deduplicated(edge.documents(spark))
     assert kept.columns == edge.documents(spark).columns
