@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from medallion.llm.common import ascii_lower, free_name, id_and_text, written
 
 CAPACITY = 65_536
-#: Bytes of text a bucket holds before it is split.
-BUCKET_BYTES = 16 << 20
+#: Bytes of text a bucket holds before it is split. Small, so that a task owns many buckets and all
+#: tasks about as much.
+BUCKET_BYTES = 4 << 20
 #: Rows of one key that go to one owner; beyond them, or beyond ``BUCKET_BYTES``, a key is salted.
 OWNER_ROWS = 4_096
 #: Buckets, and salted keys, that a table has at most: the three limits above rise with the table
