@@ -18,6 +18,7 @@ from medallion.plans.suites import (
 )
 from medallion.schemas import LANGUAGES
 from medallion.session import scratch_folder
+from medallion.sources.layout import newest_day, write_by_day
 
 NOW = datetime(2026, 6, 1)
 LAUNCH = "1996-01-01 00:00:00"
@@ -47,11 +48,11 @@ def dq_not_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared types of the line items; two of the expectations are wrong on purpose."""
+    """Declared types, dates and keys of the line items; three expectations are wrong on purpose."""
     lines = table(spark, sf_dir, "lineitem")
     tests = [Q.TypeTest("l_orderkey", "number"), Q.TypeTest("l_discount", "float"),
              Q.TypeTest("l_shipdate", "timestamp_ntz"), Q.TypeTest("l_returnflag", "number"),
-             Q.TypeTest("l_tax", "boolean")]
+             Q.TypeTest("l_tax", "boolean"), Q.t_not_null("l_shipdate"), Q.UniqueTest("l_orderkey")]
     return Q.run_suite("lineitem", lines, tests)
 
 
@@ -107,6 +108,18 @@ def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def freshness_newest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written by day; their newest load, seen from three moments, out of one day's files."""
+    folder = scratch_folder(spark, "events")
+    write_by_day(table(spark, sf_dir, "events"), folder, "ts", ["event_id"], mode="overwrite")
+    rows = newest_day(spark, folder)
+    newest = rows.agg(F.max("ts").alias("ts")).scalar()
+    parts = [
+        Q.freshness(rows, "ts", newest + F.expr(f"interval {hours}")).withColumn("seen", F.lit(name))
+        for name, hours in (("soon", "30 minutes"), ("later", "2 hours"), ("late", "4 hours"))]
+    return reduce(DataFrame.union, parts).select("seen", "max_loaded_at", "status")
+
+
 def dq_starter_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The starter tests (unique, not null) on the authors' ids, of which some are missing."""
     rows = bronze_feed(spark, sf_dir).select(F.col("author_steam_id").alias("id"))
@@ -275,7 +288,13 @@ QUERIES = {
         ('type_number', 'l_orderkey', CAST(0 AS BIGINT), 'pass'),
         ('type_float', 'l_discount', 0, 'pass'), ('type_timestamp_ntz', 'l_shipdate', 0, 'pass'),
         ('type_number', 'l_returnflag', 1, 'fail'), ('type_boolean', 'l_tax', 1, 'fail'))
-        t(test_name, column_name, failures, status)"""),
+        t(test_name, column_name, failures, status) UNION ALL
+        SELECT 'lineitem', test_name, column_name, failures,
+        CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END FROM (
+        SELECT 'not_null' AS test_name, 'l_shipdate' AS column_name,
+        count(*) FILTER (l_shipdate IS NULL) AS failures FROM lineitem UNION ALL
+        SELECT 'unique', 'l_orderkey', count(*) FROM (
+        SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1))"""),
     "dq_between": Query(dq_between, "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0"),
     "dq_within_range": Query(dq_within_range, """SELECT o_orderkey, o_orderdate FROM orders
         WHERE o_orderdate < TIMESTAMP '1996-01-01' OR o_orderdate > TIMESTAMP '1998-12-31'"""),
@@ -296,6 +315,9 @@ QUERIES = {
         SELECT seen, CASE WHEN seen_at - loaded > INTERVAL 3 HOUR THEN 'error'
         WHEN seen_at - loaded > INTERVAL 1 HOUR THEN 'warn' ELSE 'pass' END AS status
         FROM moved, newest"""),
+    "freshness_newest_day": Query(freshness_newest_day, """SELECT seen, max_loaded_at, status FROM
+        (SELECT max(ts) AS max_loaded_at FROM events),
+        (VALUES ('soon', 'pass'), ('later', 'warn'), ('late', 'error')) t(seen, status)"""),
     "dq_starter_model": Query(dq_starter_model, ctes(FLAGGED_CTES[0], ("counted", """SELECT 'unique'
         AS test_name, (SELECT count(*) FROM (SELECT author_steam_id FROM bronze WHERE
         author_steam_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS failures UNION ALL

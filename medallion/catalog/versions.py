@@ -11,7 +11,7 @@ from medallion.operators.versions import (
     content_versions, insert_if_absent, latest_by, latest_per_key, with_content_hash,
     with_content_id, with_surrogate_ids,
 )
-from medallion.sources.layout import as_view, literal_rows
+from medallion.sources.layout import as_view, literal_rows, read_footers
 
 LINE = ["l_orderkey", "l_linenumber"]
 
@@ -113,6 +113,11 @@ def max_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return end_point(table(spark, sf_dir, "orders"), "o_orderkey")
 
 
+def max_id_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The end point of the same table without reading a row of it."""
+    return end_point(read_footers(spark, f"{sf_dir}/orders.parquet"), "o_orderkey")
+
+
 def view_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model on a model: inline rows with a NULL, a view over them, joined to the line items."""
     as_view(literal_rows(spark, [(1,), (None,)], "id int"), "starter_rows")
@@ -162,6 +167,8 @@ QUERIES = {
         AS resume_id FROM orders WHERE o_orderkey > (SELECT CAST(floor(max(l_orderkey) / 2)
         AS BIGINT) FROM lineitem) UNION ALL SELECT 'done', -1 UNION ALL SELECT 'new', 1"""),
     "max_id": Query(max_id, "SELECT max(o_orderkey) AS end_id FROM orders"),
+    "max_id_from_footers": Query(
+        max_id_from_footers, "SELECT max(o_orderkey) AS end_id FROM orders"),
     "view_chain": Query(view_chain, """SELECT l_returnflag, count(*) AS n_rows FROM lineitem
         WHERE l_linenumber = 1 GROUP BY 1"""),
 }

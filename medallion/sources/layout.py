@@ -54,3 +54,28 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def read_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table whose count, minima and maxima over all rows come from the file footers.
+
+    Spark answers such aggregates from footers only through its newer parquet reader and with a
+    setting that the whole session shares, hence a session of its own on the same cluster. Columns
+    must be numbers, dates or booleans, or the partition column; text and timestamps are scanned.
+    """
+    session = spark.newSession()
+    readers = session.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    session.conf.set("spark.sql.sources.useV1SourceList",
+                     ",".join(name for name in readers if name.strip().lower() != "parquet"))
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(path)
+
+
+def newest_day(spark: SparkSession, path: str, day: str = "day") -> DataFrame:
+    """The rows of the newest day of a table written by day; no other folder is read.
+
+    Rows without a day belong to none. Where there is no day at all the result is empty.
+    """
+    last = read_footers(spark, path).agg(F.max(day).alias("last")).first()["last"]
+    rows = spark.read.parquet(path)
+    return rows.where(F.lit(False) if last is None else F.col(day) == F.lit(last))
