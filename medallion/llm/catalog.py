@@ -75,7 +75,7 @@ def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op6_chat_formatting": Query(op6_chat_formatting),
+    "op6_chat_formatting": Query(op6_chat_formatting, chat.SQL),
     "op5_benchmark_decontamination": Query(op5_benchmark_decontamination),
     "op8_lm_scoring": Query(op8_lm_scoring),
     "op3_language_id": Query(op3_language_id),

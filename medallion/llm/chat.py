@@ -191,3 +191,77 @@ def format_chats(conversations: DataFrame, part: int = PART) -> DataFrame:
         F.lit("<|"), x["role"], F.lit("|>\n"), x["said"]))
     return grouped.select("conv_id", "part", F.lit(0).cast("long").alias("section"), "n_messages", "n_quotes", "n_linked",
                           "first_turn", "last_turn", F.array_join(line, "\n").alias("chat"))
+
+
+def _sql_normalised(text: str) -> str:
+    return (f"trim(regexp_replace(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+            f"'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\v\\f\\r]+', ' ', 'g'), ' ')")
+
+
+#: The default of 256 messages a part. Texts are compared themselves, not their hashes.
+SQL = rf"""
+WITH RECURSIVE m AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, * FROM (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           count(*) AS copies
+    FROM conversations GROUP BY ALL)),
+v AS MATERIALIZED (
+  SELECT id, pos, line, length(marks) - length(replace(marks, '>', '')) AS level
+  FROM (SELECT *, regexp_extract(line, '^((?:[ 	]*>)+)', 1) AS marks
+        FROM (SELECT id, unnest(string_split(text, chr(10))) AS line,
+                     generate_subscripts(string_split(text, chr(10)), 1) AS pos
+              FROM m WHERE contains(text, '>')))),
+b AS MATERIALIZED (
+  SELECT m.*, CASE WHEN contains(text, '>')
+    THEN trim(coalesce(own, ''), ' ' || chr(9) || chr(10) || chr(13)) ELSE text END AS said
+  FROM m LEFT JOIN (SELECT id, string_agg(line, chr(10) ORDER BY pos) AS own
+                    FROM v WHERE level = 0 GROUP BY id) USING (id)),
+r AS (
+  SELECT id, pos, level, regexp_replace(line, '^(?:[ 	]*>)+[ 	]?', '') AS line,
+         CASE WHEN level = lag(level) OVER (PARTITION BY id ORDER BY pos) THEN 0 ELSE 1 END AS new
+  FROM v),
+p AS (SELECT *, sum(new) OVER (PARTITION BY id ORDER BY pos) AS passage FROM r),
+u AS (
+  SELECT id, passage, level, 0 AS part,
+         {_sql_normalised("string_agg(line, chr(10) ORDER BY pos)")} AS said
+  FROM p WHERE level > 0 GROUP BY id, passage, level
+  UNION ALL SELECT id, passage, level, 1, {_sql_normalised("line")} FROM p WHERE level > 0),
+o AS (
+  SELECT conv_id, said, min(turn) AS original
+  FROM (SELECT conv_id, turn, {_sql_normalised("x")} AS said
+        FROM (SELECT conv_id, turn, unnest(list_concat([said],
+                string_split_regex(said, '
+[ 	]*
+'), string_split(said, chr(10)))) AS x FROM b))
+  WHERE said <> '' GROUP BY conv_id, said),
+f AS (
+  SELECT u.id, passage, level, part, CASE WHEN original < turn THEN original END AS original
+  FROM u JOIN m USING (id) LEFT JOIN o ON o.conv_id = m.conv_id AND o.said = u.said
+  WHERE u.said <> ''),
+q AS (
+  SELECT id, conv_id, turn, count(*) AS n_quotes, sum(linked) AS n_linked,
+         -(min(best)[3]) AS reply_to
+  FROM (SELECT id, passage, max(CAST(original IS NOT NULL AS BIGINT)) AS linked,
+               min([level, part, -original]) FILTER (original IS NOT NULL) AS best
+        FROM f GROUP BY id, passage) JOIN m USING (id)
+  WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY id, conv_id, turn),
+up AS (
+  SELECT conv_id, turn, min(reply_to) AS target FROM q WHERE reply_to IS NOT NULL
+  GROUP BY conv_id, turn),
+walk(conv_id, turn, root) AS (
+  SELECT conv_id, turn, target FROM up
+  UNION ALL SELECT w.conv_id, w.turn, up.target
+  FROM walk w JOIN up ON up.conv_id = w.conv_id AND up.turn = w.root),
+n AS (
+  SELECT b.*, coalesce(q.n_quotes, 0) AS n_quotes, coalesce(q.n_linked, 0) AS n_linked,
+         row_number() OVER (PARTITION BY b.conv_id ORDER BY coalesce(t.root, b.turn) NULLS LAST,
+                            b.turn NULLS LAST, role, said) - 1 AS number
+  FROM b LEFT JOIN q ON q.id = b.id
+  LEFT JOIN (SELECT conv_id, turn, min(root) AS root FROM walk GROUP BY conv_id, turn) t
+    ON t.conv_id = b.conv_id AND t.turn = b.turn)
+SELECT conv_id, number // 256 AS part, CAST(0 AS BIGINT) AS section,
+       CAST(sum(copies) AS BIGINT) AS n_messages, CAST(sum(n_quotes) AS BIGINT) AS n_quotes,
+       CAST(sum(n_linked) AS BIGINT) AS n_linked, min(turn) AS first_turn, max(turn) AS last_turn,
+       string_agg('<|' || role || '|>' || chr(10) || said, chr(10) ORDER BY number) AS chat
+FROM n GROUP BY conv_id, number // 256
+"""

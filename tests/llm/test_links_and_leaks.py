@@ -6,6 +6,7 @@ import os
 import random
 import re
 import shutil
+from collections import Counter
 
 import pytest
 
@@ -187,6 +188,49 @@ def test_parts_are_bounded_whatever_the_turns(spark):
         assert [x.rstrip("\n") for x in said] == [x for _, x in want]
 
 
+def quoted_talk(random, conv, turns):
+    """Messages that quote earlier ones: whole, by paragraph or line, nested, twisted or made up."""
+    say = lambda: " ".join(random.choice(WORDS) for _ in range(random.randint(1, 4)))
+    rows = []
+    for turn in range(turns):
+        parts = []
+        for _ in range(random.randint(0, 3)):
+            source = random.choice(rows)[3] if rows and random.random() < 0.85 else say()
+            cut = random.choice([lambda t: t, lambda t: t.split("\n\n")[0],
+                                 lambda t: t.split("\n")[-1], lambda t: "  " + t.upper() + " \t"])
+            marks = random.choice(["> ", ">", "> > ", " >", ">>\t"])
+            parts.append("\n".join(marks + line for line in cut(source).split("\n")))
+            if random.random() < 0.3:
+                parts.append("")
+        parts += [random.choice([say(), say() + "\n" + say(), say() + "\n \n" + say(), "", "a > b"])]
+        random.shuffle(parts)
+        at = None if random.random() < 0.05 else random.choice([turn, turn, turn, max(0, turn - 1)])
+        row = (conv, at, random.choice(["user", "assistant", None]), "\n".join(parts))
+        rows += [row] * random.choice([1, 1, 1, 2])
+    return rows
+
+
+WORDS = ["Yes", "no", "café", "MAYBE", "the", "plan", "x"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_chats_equal_sql_on_quoted_messages(spark, seed):
+    """The given table holds no quotes, so the SQL is held against talks full of them."""
+    import duckdb
+
+    draw = random.Random(seed)
+    rows = CHAT + [r for conv in (*range(10, 40), None)
+                   for r in quoted_talk(draw, conv, draw.randint(1, 14))]
+    rows += [(50, i, "user", f"> said {i - draw.randint(1, 4)}\nsaid {i}") for i in range(600)]
+    table = chats(spark, rows).repartition(5)
+    con = duckdb.connect()
+    con.register("conversations", table.toPandas().astype({"conv_id": "Int64", "turn": "Int64"}))
+    want = con.sql(chat.SQL)
+    found = chat.format_chats(table).select(*want.columns).collect()
+    assert Counter(map(tuple, found)) == Counter(want.fetchall())
+    assert sum(r.n_linked for r in found) > 600 and sum(r.n_quotes for r in found) > 700
+
+
 # Pipeline and queries
 
 def write(spark, folder, rows, items):
