@@ -45,6 +45,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def text_name(text: Column) -> Column:
+    """128 bits of a text: with its id they name a row, one without an id too; null counts as empty."""
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
 def crc_bucket(doc_id: Column, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets``; a null id counts as the empty text."""
     as_text = F.coalesce(doc_id.cast("string"), F.lit(""))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.chartext import Lookup
-from medallion.llm.common import free_name, id_and_text, prepare_workers
+from medallion.llm.common import free_name, id_and_text, prepare_workers, text_name
 
 SIMILARITY = 0.8
 WALKS = 2
@@ -323,7 +323,7 @@ def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.coalesce("doc_id", last).alias(sid), F.col("th").alias(th)).distinct()
     marked = documents.withColumns({
         sid: F.coalesce(F.col("doc_id").cast("long"), last),
-        th: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+        th: text_name(F.col("text"))})
     return marked.join(leaks, [sid, th], "left_anti").drop(sid, th)
 
 
@@ -374,13 +374,13 @@ def _search(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMI
                         [pa.array(c, t) for c, t in zip(columns, _TYPES.values(), strict=True)],
                         names=list(_TYPES))
 
-        found = id_and_text(documents).withColumn("th", F.xxhash64("text")).mapInArrow(
+        found = id_and_text(documents).withColumn("th", text_name(F.col("text"))).mapInArrow(
             search, "doc_id long, item_id long, item_words int, distance int, similarity double, "
-                    "start_word int, end_word int, start_char int, end_char int, th long")
+                    "start_word int, end_word int, start_char int, end_char int, th string")
         result = found if result is None else result.union(found)
     return result
 
 
 _TYPES = {"doc_id": pa.int64(), "item_id": pa.int64(), "item_words": pa.int32(),
           "distance": pa.int32(), "similarity": pa.float64(), "start_word": pa.int32(),
-          "end_word": pa.int32(), "start_char": pa.int32(), "end_char": pa.int32(), "th": pa.int64()}
+          "end_word": pa.int32(), "start_char": pa.int32(), "end_char": pa.int32(), "th": pa.string()}

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import free_name, id_and_text, prepare_workers, written
+from medallion.llm.common import free_name, id_and_text, prepare_workers, text_name, written
 from medallion.llm.components import components
 
 SEED = 42
@@ -70,8 +70,8 @@ def fingerprints(documents: DataFrame, width: int = WIDTH) -> DataFrame:
                 [batch.column("doc_id"), batch.column("th"), pa.array(fps.view(np.int64))],
                 names=["doc_id", "th", "fp"])
 
-    rows = id_and_text(documents).withColumn("th", F.xxhash64("text"))
-    return rows.mapInArrow(run, "doc_id long, th long, fp long")
+    rows = id_and_text(documents).withColumn("th", text_name(F.col("text")))
+    return rows.mapInArrow(run, "doc_id long, th string, fp long")
 
 
 def _agreeing(blocks: int, radius: int) -> list[int]:
@@ -270,5 +270,5 @@ def representatives(documents: DataFrame, width: int = WIDTH, radius: int = RADI
         F.col("s.id").alias(sid), F.col("s.th").alias(th)).distinct()
     marked = documents.withColumns({
         sid: F.coalesce(F.col("doc_id").cast("long"), last),
-        th: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+        th: text_name(F.col("text"))})
     return marked.join(stay, [sid, th], "left_semi").dropDuplicates([sid, th]).drop(sid, th)
