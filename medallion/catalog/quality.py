@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from medallion.catalog import Query, table
-from medallion.catalog.dims import QUERIES as DIM_QUERIES
+from medallion.catalog.dims import QUERIES as DIM_QUERIES, dimension, flagged_table
 from medallion.catalog.feed import FLAGGED_CTES, bronze_feed
 from medallion.catalog.sqltext import ctes
 from medallion.operators import quality as Q
@@ -126,31 +126,33 @@ def dq_starter_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.run_suite("starter", rows, [Q.UniqueTest("id"), Q.t_not_null("id")])
 
 
-def _written(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _written(flagged: DataFrame, name: str) -> DataFrame:
     """A dimension as the written table the tests run on."""
-    folder = scratch_folder(spark, name)
-    DIM_QUERIES[name].build(spark, sf_dir).write.mode("overwrite").parquet(folder)
-    return spark.read.parquet(folder)
+    folder = scratch_folder(flagged.sparkSession, name)
+    dimension(flagged, name).write.mode("overwrite").parquet(folder)
+    return flagged.sparkSession.read.parquet(folder)
 
 
 def _suite(name: str):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        others = {}
+        others, flagged = {}, flagged_table(spark, sf_dir)
         if name.startswith("players"):
             reviews = name.replace("players", "reviews")
-            others[reviews] = _written(spark, sf_dir, reviews)
-        return Q.run_suite(name, _written(spark, sf_dir, name), SUITES[name](NOW), others)
+            others[reviews] = _written(flagged, reviews)
+        return Q.run_suite(name, _written(flagged, name), SUITES[name](NOW), others)
     return build
 
 
 def dq_freshness_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four dimensions by the time of their last merge, seen sooner and later after it."""
-    parts = []
+    """The four dimensions by the time of their last merge, seen sooner and later after it.
+
+    One flagged table feeds them all, and the moment is counted from the newest load found.
+    """
+    parts, flagged = [], flagged_table(spark, sf_dir)
     for name, hours in (("reviews_scd1", 0), ("reviews_scd2", 1), ("players_scd1", 2),
                         ("players_scd2", 4)):
-        rows = DIM_QUERIES[name].build(spark, sf_dir)
-        newest = rows.agg(F.max("_dlt_updated_at").alias("at")).scalar()
-        seen = Q.freshness(rows, "_dlt_updated_at", newest + F.expr(f"interval {hours} hours"))
+        now = F.col("max_loaded_at") + F.expr(f"interval {hours} hours")
+        seen = Q.freshness(dimension(flagged, name), "_dlt_updated_at", now)
         parts.append(seen.select(F.lit(name).alias("table_name"), "max_loaded_at", "status"))
     return reduce(DataFrame.union, parts)
 
