@@ -1,9 +1,12 @@
 """The V1 incremental run and its bucketed store."""
 
+from functools import reduce
+
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from medallion.operators.merge import merge_current
+from medallion.operators.merge import CurrentMerge, merge_batches, merge_current
+from medallion.operators.versions import latest_by
 from medallion.plans import clean_run
 from medallion.plans.clean import STORED_SCHEMA, RawStore, append_raw
 from medallion.plans.clean_run import CleanRun, ingest_and_clean
@@ -144,3 +147,39 @@ def test_a_bucketed_target_is_merged_where_it_lies(spark):
     key = lambda r: (r["review_id"], str(r["timestamp_updated"]))
     assert sorted(map(key, merged.collect())) == sorted(map(key, plain.collect()))
     assert plan_of(merged).count("Exchange") == plan_of(plain).count("Exchange") - 1
+
+
+def test_many_batches_are_one_pass_that_changes_what_each_would_alone(spark):
+    clean = pipeline(spark, batch_rows=2)
+    ingest_and_clean(spark, clean, landing(spark, *loads()[0]), 0, "run-0")
+    # Three batches, one file of changes and one of commits; each batch can be read as of its commit.
+    rows = sorted(clean.commits(spark).collect(), key=lambda r: r["run"])
+    assert [r["rows_read"] for r in rows] == [2, 2, 2]
+    assert clean.commits(spark).select(F.input_file_name()).distinct().count() == 1
+    assert [clean.table(spark, "reviews", r).count() for r in rows] == [2, 4, 6]
+
+
+def test_merged_batches_equal_merges_one_after_the_other(spark):
+    def rows(ids, at, amount):
+        return spark.createDataFrame([(1, n, at + n % 3, amount) for n in ids],
+                                     "a bigint, k bigint, at bigint, amount bigint")
+
+    batches = [rows(range(8), 10, 1), rows(range(4, 12), 9, 1), rows(range(0, 12, 2), 11, 2),
+               rows(range(12), 11, 1)]
+    numbered = reduce(DataFrame.unionByName, [
+        b.withColumn("batch", F.lit(n + 1).cast("bigint")) for n, b in enumerate(batches)])
+    start, update = rows(range(3), 10, 5), ["at", "amount"]
+    for rule in ({"newer_by": "at"}, {"compare": ["amount"]}):
+        merge = CurrentMerge(("a", "k"), ["a", "k", *update], update=update, **rule)
+        state, actions = start, {}
+        for n, b in enumerate(batches):
+            merged = merge_current(state, b, merge, with_action=True)
+            for r in merged.where("_action <> 'keep'").groupBy("_action").count().collect():
+                actions[n + 1, r[0]] = r[1]
+            state = spark.createDataFrame(merged.drop("_action").collect(), start.schema)
+        whole = merge_batches(start, numbered, merge, "batch", 0)
+        found = {(r[0], r[1]): r[2] for r in whole.where("_action <> 'keep'").groupBy(
+            "batch", "_action").count().collect()}
+        assert found == actions
+        newest = latest_by(whole.where("batch = 0 or _action <> 'keep'"), ("a", "k"), ["batch"])
+        assert sorted(newest.select(*start.columns).collect()) == sorted(state.collect())
