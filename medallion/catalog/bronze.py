@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from medallion.catalog import Query, table
 from medallion.catalog.feed import (
-    bronze_feed, bronze_feed_sql, landing_feed, page_feed, page_rows_sql,
+    as_run, bronze_feed, bronze_feed_sql, landing_feed, page_feed, page_rows_sql,
 )
 from medallion.operators.flatten import (
     accepted_pages, clean_players, clean_reviews, flatten_reviews, page_errors, record_dump,
@@ -35,7 +35,7 @@ def page_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as files in key folders, written twice, read back and flattened."""
     folder = scratch_folder(spark, "pages")
-    pages = page_feed(spark, sf_dir)
+    pages = as_run(page_feed(spark, sf_dir), "load")
     write_pages(pages, folder)
     # A second run of the same keys replaces the first.
     write_pages(pages, folder)
@@ -45,7 +45,7 @@ def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages per application and day, counted from the path keys and the parsed documents."""
     folder = scratch_folder(spark, "pages")
-    write_pages(page_feed(spark, sf_dir), folder)
+    write_pages(as_run(page_feed(spark, sf_dir), "load"), folder)
     return (
         read_parsed_pages(spark, folder)
         .groupBy("steam_app_id", "ingestion_date")
