@@ -93,19 +93,26 @@ def directory(keys: DataFrame, capacity: int = CAPACITY,
 
 
 def _routed(rows: DataFrame, slots: DataFrame) -> DataFrame:
-    """``rows`` with the ``bucket`` of their key: the one whose prefix it starts with."""
-    depths = sorted(r.depth for r in slots.select("depth").distinct().collect())
-    found = []
-    for depth in depths:
-        name = f"bucket_{depth}"
-        level = slots.where(F.col("depth") == depth).select(
-            F.col("prefix").alias(f"prefix_{depth}"), F.col("bucket").alias(name))
-        rows = rows.join(F.broadcast(level),
-                         _prefix(F.col("key"), depth) == F.col(f"prefix_{depth}"), "left")
-        found.append(F.col(name))
-    bucket = F.coalesce(*found) if found else F.lit(0).cast("long")
-    return rows.withColumn("bucket", bucket).drop(
-        *(f"{part}_{depth}" for part in ("prefix", "bucket") for depth in depths))
+    """``rows`` with the ``bucket`` of their key: the one whose prefix it starts with.
+
+    Every row meets one cell of the directory, whatever the number of depths. A cell is a prefix of
+    as many bits as there are doublings in the number of buckets: a bucket above takes all cells
+    below it, fewer than there are buckets, and buckets below a cell are a list in it.
+    """
+    buckets = slots.count()
+    if not buckets:
+        return rows.withColumn("bucket", F.lit(0).cast("long"))
+    depth = buckets.bit_length() - 1
+    above = F.greatest(F.lit(depth) - F.col("depth"), F.lit(0))
+    first = _prefix(F.col("bucket"), depth)
+    last = first + F.call_function("shiftleft", F.lit(1).cast("long"), above) - 1
+    cells = slots.select("bucket", F.explode(F.sequence(first, last)).alias("cell")).groupBy(
+        "cell").agg(F.collect_list("bucket").alias("starts"))
+    # Keys of a cell share its bits, the sign among them, so signed numbers are in order there.
+    own = F.when(F.size("starts") == 1, F.col("starts")[0]).otherwise(
+        F.array_max(F.filter("starts", lambda start: start <= F.col("key"))))
+    return rows.join(F.broadcast(cells), _prefix(F.col("key"), depth) == F.col("cell")).withColumn(
+        "bucket", own).drop("cell", "starts")
 
 
 def build_index(documents: DataFrame, capacity: int = CAPACITY, key_bits: int = 64,

@@ -184,6 +184,24 @@ def plain_directory(keys, capacity, depth=0, prefix=0):
             plain_directory(side[bit], capacity, depth + 1, 2 * prefix + bit)}
 
 
+def test_a_row_is_routed_by_one_join_whatever_the_depths(spark):
+    random = np.random.default_rng(11)
+    keys = [int(k) for k in random.integers(-1 << 63, 1 << 63, 200, dtype=np.int64)]
+    keys += [-1, -2, -3, 0, 1, -1 << 63, (1 << 63) - 1, 1 << 40, (1 << 40) + 1]
+    table = spark.createDataFrame([(k, 1.0) for k in keys], "key long, bytes double")
+    slots = exact_dedup.directory(table, capacity=2, bucket_bytes=1 << 40)
+    assert len({r.depth for r in slots.collect()}) > 3
+    routed = exact_dedup._routed(table.select("key"), slots)
+    assert routed._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    starts = sorted(r.bucket % (1 << 64) for r in slots.collect())
+    found = {r.key: r.bucket for r in routed.collect()}
+    assert len(found) == len(set(keys)) and routed.count() == len(keys)
+    for key, bucket in found.items():
+        assert bucket % (1 << 64) == max(s for s in starts if s <= key % (1 << 64))
+    alone = slots.where("false").unionByName(spark.createDataFrame([(0, 0, 0)], slots.schema))
+    assert {r.bucket for r in exact_dedup._routed(table, alone).collect()} == {0}
+
+
 def test_directory_in_several_rounds(spark, monkeypatch):
     """Keys that share their first bits need more rounds; the driver sees a number per round."""
     random = np.random.default_rng(7)
