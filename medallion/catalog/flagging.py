@@ -15,8 +15,9 @@ from medallion.operators.quarantine import (
 from medallion.schemas import FIELDS, PLAYER_ROW, REVIEW_ROW
 
 
-def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flag_reviews(bronze_feed(spark, sf_dir))
+def flagged(spark: SparkSession, sf_dir: str, *grains: str) -> DataFrame:
+    """The flagged rows with the reasons of the named grains, or of both."""
+    return flag_reviews(bronze_feed(spark, sf_dir), grains or ("review", "author"))
 
 
 def typed_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,14 +39,14 @@ def number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flag_reasons_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flagged(spark, sf_dir).select(
+    return flagged(spark, sf_dir, "review").select(
         "review_id", "app_id", "ingested_at", "author_playtime_forever_raw",
         F.array_join("review_failure_reasons", ",").alias("reasons"),
     )
 
 
 def flag_reasons_author(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flagged(spark, sf_dir).select(
+    return flagged(spark, sf_dir, "author").select(
         "review_id", "author_steam_id", "ingested_at", "author_playtime_forever_raw",
         F.array_join("review_player_failure_reasons", ",").alias("reasons"),
     )
@@ -62,21 +63,22 @@ def flagged_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dlq_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = review_quarantine(flagged(spark, sf_dir))
+    rows = review_quarantine(flagged(spark, sf_dir, "review"))
     return rows.withColumn("review_failure_reasons", F.array_join("review_failure_reasons", ","))
 
 
 def dlq_player(spark: SparkSession, sf_dir: str) -> DataFrame:
     reasons = "review_player_failure_reasons"
-    return player_quarantine(flagged(spark, sf_dir)).withColumn(reasons, F.array_join(reasons, ","))
+    rows = player_quarantine(flagged(spark, sf_dir, "author"))
+    return rows.withColumn(reasons, F.array_join(reasons, ","))
 
 
 def clean_reviews_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_review_rows(flagged(spark, sf_dir))
+    return clean_review_rows(flagged(spark, sf_dir, "review"))
 
 
 def clean_players_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_player_rows(flagged(spark, sf_dir)).select(*PLAYER_ROW)
+    return clean_player_rows(flagged(spark, sf_dir, "author")).select(*PLAYER_ROW)
 
 
 def reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,6 +52,15 @@ def lines(spark, root):
     ).write.parquet(f"{root}/lineitem.parquet")
 
 
+def test_a_grain_does_not_pay_for_the_other(spark):
+    root = scratch_folder(spark, "test")
+    lines(spark, root)
+    typed = "\n".join(plan(flagging.dlq_review(spark, root), "optimizedPlan"))
+    assert "author_playtime_at_review" not in typed and "author:" not in typed
+    assert flagging.dlq_review(spark, root).count() == 19 * 4
+    assert flagging.dlq_player(spark, root).count() == 8 * 4
+
+
 def test_bronze_rows_are_dealt_out_unsorted(spark):
     root = scratch_folder(spark, "test")
     lines(spark, root)
