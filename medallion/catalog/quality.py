@@ -135,9 +135,9 @@ def _written(flagged: DataFrame, name: str) -> DataFrame:
 
 def _suite(name: str):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        others, flagged = {}, flagged_table(spark, sf_dir)
-        if name.startswith("players"):
-            reviews = name.replace("players", "reviews")
+        reviews = name.replace("players", "reviews")
+        others, flagged = {}, flagged_table(spark, sf_dir, *{name: 0, reviews: 0})
+        if name != reviews:
             others[reviews] = _written(flagged, reviews)
         return Q.run_suite(name, _written(flagged, name), SUITES[name](NOW), others)
     return build

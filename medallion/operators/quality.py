@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from medallion.functions import predicates as P
-from medallion.functions.casts import to_number
+from medallion.functions.casts import to_number, usual_reactions
 
 # --- failing rows ---------------------------------------------------------------------------
 
@@ -205,7 +205,9 @@ def t_app_date(name: str, app_column: str, app_id: int, date_column: str, expect
 
 def t_reactions(column: str) -> RowTest:
     bad = F.size(F.filter(_elements(column), _bad_element))
-    return RowTest("valid_reaction", column, F.greatest(bad, F.lit(0)), per_element=True)
+    # The usual list holds numbers only and needs no parser.
+    failures = F.when(usual_reactions(F.col(column)), F.lit(0)).otherwise(F.greatest(bad, F.lit(0)))
+    return RowTest("valid_reaction", column, failures, per_element=True)
 
 
 def run_suite(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from medallion.operators.merge import (
     BROADCAST_BYTES, CurrentMerge, HistoryMerge, measured_bytes, merge_current, merge_history,
 )
+from medallion.operators.flatten import REASONS
 from medallion.operators.quarantine import clean_player_rows, clean_review_rows
 from medallion.operators.versions import arrival_order, latest_by, latest_per_key
 from medallion.schemas import (
@@ -51,12 +52,22 @@ CLEAN_PLAYERS = CurrentMerge(
 
 @dataclass(frozen=True)
 class Dimension:
-    """One consumer of the flagged table: how it picks its rows and how it merges them."""
+    """One consumer of the flagged table: how it picks its rows and how it merges them.
+
+    ``grain`` is the one by whose rules its rows are clean.
+    """
 
     name: str
     pick: Callable[[DataFrame], DataFrame]
     merge: CurrentMerge | HistoryMerge
     columns: Sequence[str]
+    grain: str = "review"
+
+    @property
+    def reads(self) -> list[str]:
+        """The columns of the flagged table the consumer looks at: its own, the order, the reasons."""
+        own = [*self.columns, "timestamp_updated", "ingested_at", REASONS[self.grain]]
+        return list(dict.fromkeys(own))
 
     def source(self, flagged: DataFrame, tie_breakers: Sequence[Column] = ()) -> DataFrame:
         """Newest clean row per key of a batch of flagged rows."""
@@ -114,7 +125,7 @@ DIMENSIONS = {
     for dim in (
         Dimension("reviews_scd1", clean_review_rows, REVIEWS_SCD1, REVIEW_ROW),
         Dimension("reviews_scd2", clean_review_rows, REVIEWS_SCD2, REVIEW_ROW),
-        Dimension("players_scd1", clean_player_rows, PLAYERS_SCD1, PLAYER_ROW),
+        Dimension("players_scd1", clean_player_rows, PLAYERS_SCD1, PLAYER_ROW, "author"),
         Dimension("players_scd2", lambda f: clean_player_rows(f, "review"), PLAYERS_SCD2,
                   PLAYER_ROW),
     )

@@ -59,6 +59,10 @@ def test_a_grain_does_not_pay_for_the_other(spark):
     assert "author_playtime_at_review" not in typed and "author:" not in typed
     assert flagging.dlq_review(spark, root).count() == 19 * 4
     assert flagging.dlq_player(spark, root).count() == 8 * 4
+    written = dims.flagged_table(spark, root, "reviews_scd2")
+    assert written.count() == 200 and not [c for c in written.columns if c.endswith("_raw")]
+    every = dims.flagged_table(spark, root)
+    assert {c for dim in dims.DIMENSIONS.values() for c in dim.reads} == set(every.columns)
 
 
 def test_bronze_rows_are_dealt_out_unsorted(spark):
