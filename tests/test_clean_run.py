@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from medallion.operators.merge import CurrentMerge, merge_batches, merge_current
 from medallion.operators.versions import latest_by
 from medallion.plans import clean_run
-from medallion.plans.clean import STORED_SCHEMA, RawStore, append_raw
+from medallion.plans.clean import STORED_SCHEMA, RawStore, append_raw, clean_batches
 from medallion.plans.clean_run import CleanRun, ingest_and_clean
 from medallion.plans.dims import CLEAN_REVIEWS
 from medallion.schemas import CLEAN_REVIEW_SCHEMA
@@ -183,3 +183,24 @@ def test_merged_batches_equal_merges_one_after_the_other(spark):
         assert found == actions
         newest = latest_by(whole.where("batch = 0 or _action <> 'keep'"), ("a", "k"), ["batch"])
         assert sorted(newest.select(*start.columns).collect()) == sorted(state.collect())
+
+
+def test_what_is_needed_on_the_way_only_is_cleared(spark):
+    clean = pipeline(spark, batch_rows=2)
+    added = [ingest_and_clean(spark, clean, landing(spark, *load), n, f"run-{n}")[0]
+             for n, load in enumerate(loads())]
+    assert added == [6, 3, 1] and clean.raw.table(spark).count() == 10
+    for folder in (f"{clean.raw.path}_staged", f"{clean.raw.path}_fresh", f"{clean.path}/staged"):
+        assert spark.read.parquet(folder).count() == 0
+    # A batch that is repeated makes them again.
+    assert append_raw(spark, clean.raw.path, landing(spark, *loads()[0]), 0, F.lit("run-0"), 8) == 0
+
+
+def test_the_text_of_a_version_is_not_dealt_out_by_key(spark):
+    store = RawStore(scratch_folder(spark, "test"), buckets=4)
+    for number, load in enumerate(loads()):
+        append_raw(spark, store.path, landing(spark, *load), number, F.lit("r"), 4)
+    for rows in clean_batches(store.table(spark), "batch_id"):
+        below = [line for line in plan_of(rows).splitlines() if "Aggregate" in line]
+        assert below and not any("raw_json" in line for line in below)
+        assert rows.count() == 10
